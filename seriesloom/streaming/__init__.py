@@ -1,0 +1 @@
+"""No streaming operators: the workload has none, every input is a bounded table."""
