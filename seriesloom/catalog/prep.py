@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from seriesloom.catalog.base import (
 from seriesloom.functions.rolling import lags, rolling_mean
 from seriesloom.operators import filters, joins, ledger, metrics, profiling, quality, returns, scaling
 from seriesloom.operators.features import forward_target
-from seriesloom.plans.layout import Layout, lay_out
+from seriesloom.plans.layout import POS, lay_out, with_positions
 from seriesloom.sources import bars as bar_source
 from seriesloom.sources import readers, sinks, snapshots
 
@@ -40,8 +41,6 @@ def scratch(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         return tempfile.mkdtemp(prefix="seriesloom-")
-    import uuid
-
     return f"{shared.rstrip('/')}/{uuid.uuid4()}"
 
 
@@ -219,8 +218,6 @@ def simple_forecasts(spark: SparkSession, sf: str) -> DataFrame:
         }
     ).close()
     test = filters.between_ts(wide, TEST_START, None)
-    from seriesloom.plans.layout import POS, with_positions
-
     placed = with_positions(test, CUT)
     models = F.array(
         *(
@@ -474,8 +471,6 @@ t AS (SELECT ticker, d, row_number() OVER (PARTITION BY ticker ORDER BY d) AS st
 SELECT ticker, CAST(step AS INTEGER) AS step, yhat, d FROM v JOIN t USING (ticker, step)""",
 )
 def _(spark, sf):
-    from seriesloom.plans.layout import POS, with_positions
-
     values = with_positions(closes(spark, sf), CUT).where(F.col(POS) < 300).select(
         "ticker", (F.col(POS) + 1).cast("int").alias("step"), F.col("close").alias("yhat")
     )

@@ -1 +1,87 @@
+"""Decomposition, autocorrelation and stationarity queries."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesloom.catalog.base import CUT, ROWS, W, closes, mkt, r, register, rounded
+from seriesloom.operators import autocorr, datasets
+from seriesloom.operators.decomposition import decompose
+from seriesloom.operators.stationarity import adf_test
+from seriesloom.plans.groupstats import attach
+from seriesloom.plans.layout import with_positions
+
+PERIOD = 252
+_H = PERIOD // 2
+DECOMP = f"""{ROWS}, t AS (SELECT *, CASE WHEN rn > {_H} AND rn <= n - {_H} THEN
+ (sum(close) OVER (PARTITION BY ticker ORDER BY d ROWS BETWEEN {_H - 1} PRECEDING AND {_H - 1} FOLLOWING)
+  + (lag(close, {_H}) {W} + lead(close, {_H}) {W}) / 2) / {PERIOD} END AS trend FROM x),
+ph AS (SELECT ticker, (rn - 1) % {PERIOD} AS phase, avg(close - trend) AS m FROM t GROUP BY 1, 2),
+se AS (SELECT ticker, phase, m - avg(m) OVER (PARTITION BY ticker) AS seasonal FROM ph),
+dc AS (SELECT t.ticker, d, close, trend, seasonal FROM t JOIN se ON se.ticker = t.ticker AND se.phase = (rn - 1) % {PERIOD})"""
+
+
+def _decomposed(name: str, sql: str):
+    @register(f"decompose_{name}", f"WITH {DECOMP} SELECT ticker, d, {sql} FROM dc")
+    def _(spark, sf):
+        out = decompose(closes(spark, sf), PERIOD, layout=CUT)
+        return rounded(out.select("ticker", "d", name))
+
+
+_decomposed("trend", r("trend", "trend"))
+_decomposed("seasonal", r("seasonal", "seasonal"))
+_decomposed("resid", r("close - trend - seasonal", "resid"))
+
+
+@register(
+    "decompose_multiplicative",
+    f"""WITH {DECOMP.replace("avg(close - trend)", "avg(close / trend)").replace("m - avg(m)", "m / avg(m)")}
+SELECT ticker, d, {r("trend", "trend")}, {r("seasonal", "seasonal", 6)}, {r("close / (trend * seasonal)", "resid", 6)} FROM dc""",
+)
+def _(spark, sf):
+    out = decompose(closes(spark, sf), PERIOD, "multiplicative", layout=CUT).drop("close")
+    return rounded(rounded(out, 4, ["trend"]), 6, ["seasonal", "resid"])
+
+
+_K = 20
+
+
+@register(
+    "acf",
+    f"""WITH {ROWS}, c AS (SELECT ticker, rn, n, close - avg(close) OVER (PARTITION BY ticker) AS c FROM x), k AS (SELECT unnest(range(0, {_K + 1})) AS k),
+s AS (SELECT a.ticker, k, any_value(a.n) AS n, sum(a.c * b.c) AS s FROM c a JOIN k ON true JOIN c b ON b.ticker = a.ticker AND b.rn = a.rn - k GROUP BY 1, 2)
+SELECT ticker, CAST(k AS INTEGER) AS lag, {r("s / first_value(s) OVER (PARTITION BY ticker ORDER BY k)", "acf", 6)}, {r("1.959963984540054 / sqrt(n)", "band", 6)} FROM s""",
+)
+def _(spark, sf):
+    return rounded(autocorr.acf(closes(spark, sf), _K, layout=CUT), 6)
+
+
+@register("pacf")
+def _(spark, sf):
+    return autocorr.pacf(closes(spark, sf), _K, layout=CUT)
+
+
+@register("pacf_order")
+def _(spark, sf):
+    return autocorr.suggest_ar_order(closes(spark, sf), 25, layout=CUT)
+
+
+@register("adf_test")
+def _(spark, sf):
+    return adf_test(closes(spark, sf).unionByName(mkt(spark, sf).drop("volume")), layout=CUT)
+
+
+@register("stationarize")
+def _(spark, sf):
+    """Input of the autoregressive models: a start date, then differencing where needed."""
+    df = closes(spark, sf).unionByName(running_total(spark, sf))
+    return datasets.arima_input(df, "1996-01-01", layout=CUT)
+
+
+def running_total(spark, sf):
+    """Cumulated centred closes of one segment: a series that needs differencing."""
+    df = closes(spark, sf).where(F.col("ticker") == "BUILDING")
+    mean = df.groupBy("ticker").agg(F.avg("close").alias("m"))
+    centred = attach(df, mean, ["ticker"], "d").withColumn("c", F.col("close") - F.col("m"))
+    summed = with_positions(centred, CUT, running={"total": F.col("c")})
+    return summed.select(F.lit("BUILDING_SUM").alias("ticker"), "d", F.col("total").alias("close"))
