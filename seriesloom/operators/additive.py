@@ -21,6 +21,7 @@ from seriesloom.operators.joins import Event, in_event
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
 from seriesloom.plans.layout import Layout
+from seriesloom.session import cut_lineage
 
 TWO_PI = 2.0 * math.pi
 WEEK, YEAR = 7.0, 365.25
@@ -82,7 +83,10 @@ def additive_fit(
     value: str = "close",
     layout: Layout = Layout(),
 ) -> DataFrame:
-    """Coefficients per series, with the time span and scale they refer to."""
+    """Coefficients per series, with the time span and scale they refer to.
+
+    The fit is computed here and its (small) table stored.
+    """
     key = layout.key
     x = df.select(
         key,
@@ -124,11 +128,12 @@ def additive_fit(
         ]
 
     joined = gram(wide, key, [*names, "__y"]).join(stats, key)
-    return per_series(
+    fits = per_series(
         joined,
         solve,
         f"{key} string, t0 date, t1 date, coef array<double>, sigma double, n_obs bigint",
     )
+    return cut_lineage(fits)
 
 
 def additive_score(

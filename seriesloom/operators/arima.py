@@ -14,14 +14,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.operators.autocorr import Z95
 from seriesloom.operators.calendars import future_calendar
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
-from seriesloom.plans.layout import POS, Laid, Layout, bucket_rows, with_positions
+from seriesloom.plans.layout import Laid, Layout, bucket_rows, with_positions
+from seriesloom.session import cut_lineage
 
 Order = tuple[int, int, int]
 Seasonal = tuple[int, int, int, int]
@@ -87,13 +88,11 @@ def _scaled(df: DataFrame, value: str, exog: Sequence[str], layout: Layout) -> t
         *(F.col(c).cast("double").alias(c) for c in exog),
     ).where(F.col("__x").isNotNull())
     stats = x.groupBy(layout.key).agg(
-        F.count("__x").alias("n_rows"),
         F.avg("__x").alias("centre"),
         F.stddev_samp("__x").alias("__s"),
     )
     stats = stats.select(
         layout.key,
-        "n_rows",
         "centre",
         F.when(F.col("__s") > 0, F.col("__s")).otherwise(F.lit(1.0)).alias("scale"),
     )
@@ -117,17 +116,22 @@ def _differenced(laid: Laid, cols: Sequence[str], poly: np.ndarray) -> Laid:
 
 @dataclass(frozen=True)
 class Stage:
-    """Second-stage rows and how they were made."""
+    """Second-stage rows and what they were made from, all but ``rows`` one row per series."""
 
     rows: DataFrame
     stats: DataFrame
+    coefs: DataFrame
     spec: Spec
 
 
 def _residual_stage(
     df: DataFrame, spec: Spec, value: str, layout: Layout, keep: int
 ) -> Stage:
-    """Rows with the differenced series, its lags, first-stage residuals and their lags."""
+    """Rows with the differenced series, its lags, first-stage residuals and their lags.
+
+    The first-stage coefficients (one short array per series) are computed and
+    stored here, so later uses do not run the first stage again.
+    """
     key = layout.key
     m = spec.long_lag
     reach = max([0, *spec.ar, *spec.ma])
@@ -155,7 +159,7 @@ def _residual_stage(
         return [{key: row[key], "__coef": coef.tolist()}]
 
     sums = gram(design, key, [*first, z])
-    coefs = per_series(sums, solve, f"{key} string, __coef array<double>")
+    coefs = cut_lineage(per_series(sums, solve, f"{key} string, __coef array<double>"))
     joined = attach(laid.df, coefs, [key], layout.ts)
     fitted = (
         F.get("__coef", F.lit(0))
@@ -166,19 +170,28 @@ def _residual_stage(
     again = again.with_columns(
         {f"__e{j}": F.lag("__e", j).over(again.w) for j in range(1, keep + 1)}
     )
-    return Stage(again.close(keep_pos=True).withColumn("__1", F.lit(1.0)), stats, spec)
+    rows = again.close().withColumn("__1", F.lit(1.0))
+    return Stage(rows, stats, coefs, spec)
+
 
+def _tail_rows(df: DataFrame, spec: Spec, value: str, layout: Layout) -> DataFrame:
+    """Last values and regressors of each series, oldest first, as arrays.
 
-def _tails(stage: Stage, layout: Layout) -> DataFrame:
-    """Last rows of each series: levels, residuals and regressors, oldest first."""
-    spec = stage.spec
-    need = len(spec.differencing) + max([1, *spec.ar, *spec.ma]) + 1
-    near = stage.rows.where(F.col(POS) >= F.col("n_rows") - need)
+    The limit per series is applied before the shuffle.
+    """
+    n = 2 * (len(spec.differencing) + spec.long_lag) + max([1, *spec.ar, *spec.ma])
+    w = Window.partitionBy(layout.key).orderBy(F.col(layout.ts).desc())
+    near = (
+        df.where(F.col(value).isNotNull())
+        .withColumn("__rn", F.row_number().over(w))
+        .where(F.col("__rn") <= n)
+    )
     row = F.struct(
-        F.col(POS).alias("p"),
-        F.col("__x").alias("x"),
-        F.coalesce("__e", F.lit(0.0)).alias("e"),
-        F.array(*(F.col(c) for c in spec.exog)).cast("array<double>").alias("w"),
+        (-F.col("__rn")).alias("p"),
+        F.col(value).cast("double").alias("x"),
+        F.array(*(F.col(c).cast("double") for c in spec.exog))
+        .cast("array<double>")
+        .alias("w"),
     )
     tail = near.groupBy(layout.key).agg(
         F.array_sort(F.collect_list(row)).alias("t"), F.max(layout.ts).alias("last_d")
@@ -187,11 +200,34 @@ def _tails(stage: Stage, layout: Layout) -> DataFrame:
         layout.key,
         F.col("last_d").cast("date").alias("last_d"),
         F.transform("t", lambda r: r["x"]).alias("tail_x"),
-        F.transform("t", lambda r: r["e"]).alias("tail_e"),
         F.transform("t", lambda r: r["w"]).alias("tail_w"),
     )
 
 
+def _apply_poly(v: np.ndarray, poly: np.ndarray) -> np.ndarray:
+    """Differenced values; the first ones, which lack history, are NaN."""
+    out = np.full(v.shape, np.nan)
+    for t in range(len(poly) - 1, len(v)):
+        out[t] = sum(c * v[t - lag] for lag, c in enumerate(poly))
+    return out
+
+
+def _tail_state(row: dict, spec: Spec) -> dict:
+    """Scaled levels, first-stage residuals and regressors a forecast continues from."""
+    x = (np.asarray(row["tail_x"], dtype=float) - row["centre"]) / row["scale"]
+    n, ne, m = len(x), len(spec.exog), spec.long_lag
+    w = np.array([list(map(float, r)) for r in row["tail_w"]]).reshape(n, ne)
+    z, dw = _apply_poly(x, spec.differencing), _apply_poly(w, spec.differencing)
+    coef = np.asarray(row["__coef"], dtype=float)
+    e = np.zeros(n)
+    for t in range(m, n):
+        past = z[t - m : t][::-1]
+        guess = coef[0] + dw[t] @ coef[1 : 1 + ne] + coef[1 + ne :] @ past
+        if np.isfinite(z[t] - guess):
+            e[t] = z[t] - guess
+    return {"tail_x": x.tolist(), "tail_e": e.tolist(), "tail_w": w.tolist()}
+
+
 FIT_SCHEMA = (
     "{key} string, p int, d int, q int, seasonal array<int>, const double,"
     " ar array<double>, ma array<double>, exog array<double>, se array<double>,"
@@ -212,6 +248,7 @@ def arima_fit(
 ) -> DataFrame:
     """One fitted model per series, with the state a forecast continues from.
 
+    The fit is computed here and its (small) table stored.
     Coefficients are in the standardised scale of the series (``centre``,
     ``scale``); ``sigma2`` is in the series' own units.
     """
@@ -240,12 +277,9 @@ def arima_fit(
             "centre": row["centre"],
             "scale": row["scale"],
             "last_d": row["last_d"],
-            "tail_x": row["tail_x"],
-            "tail_e": row["tail_e"],
-            "tail_w": row["tail_w"],
             "status": "failed",
         }
-        if row["g"] is not None:
+        if row["g"] is not None and row["__coef"] is not None:
             m = full_matrix(row["g"], k)
             n = m[0, 0]
             if n > k + 1:
@@ -253,7 +287,7 @@ def arima_fit(
                 beta[use], se[use] = fit.beta, fit.errors
                 # The likelihood refers to the series in its own units.
                 jacobian = 2 * n * math.log(row["scale"])
-                out |= {
+                out |= _tail_state(row, spec) | {
                     "sigma2": fit.ssr / n * row["scale"] ** 2,
                     "n_obs": int(n),
                     "aic": fit.aic(1) + jacobian,
@@ -271,10 +305,12 @@ def arima_fit(
         return [out]
 
     sums = gram(stage.rows, key, cols)
-    joined = stage.stats.drop("n_rows").join(sums, key, "left").join(
-        _tails(stage, layout), key, "left"
+    joined = (
+        stage.stats.join(sums, key, "left")
+        .join(stage.coefs, key, "left")
+        .join(_tail_rows(df, spec, value, layout), key, "left")
     )
-    return per_series(joined, solve, FIT_SCHEMA.format(key=key))
+    return cut_lineage(per_series(joined, solve, FIT_SCHEMA.format(key=key)))
 
 
 def arima_grid(
@@ -368,18 +404,24 @@ def arimax_fit(
     gets the plain fallback order, recorded in ``status``."""
     key = layout.key
     full = arima_fit(df, order, value, layout, seasonal=seasonal, exog=exog)
-    plain = arima_fit(df, fallback, value, layout)
     varies = F.lit(False)
     for c in exog:
         varies = varies | (F.min(c) < F.max(c))
     marked = df.groupBy(key).agg(varies.alias("__varies"))
-    good = full.join(marked, key).where(
-        F.col("__varies") & (F.col("status") == "success")
-    ).drop("__varies")
-    rest = plain.join(good.select(key), key, "left_anti").withColumn(
-        "status", F.when(F.col("status") == "success", "fallback").otherwise("failed")
+    good = cut_lineage(
+        full.join(marked, key)
+        .where(F.col("__varies") & (F.col("status") == "success"))
+        .drop("__varies")
+    )
+    rest = marked.select(key).join(good.select(key), key, "left_anti")
+    if rest.isEmpty():
+        return good
+    plain = arima_fit(df.join(rest, key, "left_semi"), fallback, value, layout)
+    return good.unionByName(
+        plain.withColumn(
+            "status", F.when(F.col("status") == "success", "fallback").otherwise("failed")
+        )
     )
-    return good.unionByName(rest)
 
 
 def arimax_coefs(fit: DataFrame, exog: Sequence[str], key: str = "ticker") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.operators.filters import between_ts
@@ -59,7 +59,8 @@ def _solve_adf(key: str, width: int):
             (Fit(m, range(p + 2), dep, n).aic(), p) for p in range(top + 1)
         )[1]
         # The final regression also uses the rows the shorter lag count frees.
-        x = np.asarray(row["head"], dtype=float)
+        x = np.asarray(row["head"], dtype=float)[: top + 1]
+        x = (x - row["__m"]) / (row["__s"] or 1.0)
         d = np.diff(x)
         for t in range(best + 1, min(top, len(x) - 1) + 1):
             v = np.zeros(width + 3)
@@ -139,15 +140,16 @@ def adf_test(
         key, *(c.alias(n) for n, c in cols.items())
     )
     sums = gram(design, key, list(cols))
+    # First values of each series; the limit is applied before the shuffle.
+    first = Window.partitionBy(key).orderBy(layout.ts)
     heads = (
-        rows.where(F.col(POS) <= F.col("max_lag"))
+        x.withColumn("__rn", F.row_number().over(first))
+        .where(F.col("__rn") <= width + 1)
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct(POS, "__z"))).alias("__h"))
-        .select(key, F.transform("__h", lambda e: e["__z"]).alias("head"))
-    )
-    joined = (
-        stats.select(key, "n", "max_lag").join(sums, key, "left").join(heads, key, "left")
+        .agg(F.array_sort(F.collect_list(F.struct("__rn", "__x"))).alias("__h"))
+        .select(key, F.transform("__h", lambda e: e["__x"]).alias("head"))
     )
+    joined = stats.join(sums, key, "left").join(heads, key, "left")
     schema = (
         f"{key} string, n_rows bigint, statistic double, p_value double, used_lag int,"
         " n_obs bigint, crit_1 double, crit_5 double, crit_10 double, stationary boolean"

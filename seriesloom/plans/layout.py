@@ -193,7 +193,7 @@ def bucket_rows(
     n = max(layout.rows, back, ahead)
     pos = F.col(POS)
     # A row without a position (null key) still belongs to one bucket.
-    own = F.coalesce(F.floor(pos / n), F.lit(0)).cast("long")
+    own = F.coalesce(F.expr(f"{POS} div {n}"), F.lit(0)).cast("long")
     offset = F.pmod(pos, F.lit(n))
     targets = [F.array(F.struct(own.alias("b"), F.lit(False).alias("h")))]
     empty = F.array().cast("array<struct<b:bigint,h:boolean>>")
