@@ -148,6 +148,10 @@ GAPPY = f"""{BARS},
 g AS (SELECT ticker, d, CASE WHEN date_diff('day', DATE '1970-01-01', d) % 7 <> 0 THEN close END AS close,
   row_number() OVER (PARTITION BY ticker ORDER BY d) AS rn FROM bars)"""
 
+MKT = """mkt AS (
+SELECT 'ALL' AS ticker, CAST(o_orderdate AS DATE) AS d, arg_max(o_totalprice, o_orderkey) AS close
+FROM orders GROUP BY 2)"""
+
 NATBARS = """natbars AS (
 SELECT n_name AS ticker, CAST(o_orderdate AS DATE) AS d, arg_max(o_totalprice, o_orderkey) AS close
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""

@@ -9,6 +9,7 @@ from seriesloom.catalog.base import (
     CUT,
     EVENTS,
     GAPPY,
+    MKT,
     NATBARS,
     ROWS,
     TEST_START,
@@ -19,6 +20,7 @@ from seriesloom.catalog.base import (
     closes,
     gappy,
     last,
+    mkt,
     natbars,
     prev,
     r,
@@ -476,6 +478,16 @@ def _(spark, sf):
     return round_library(features.build_features(natbars(spark, sf), LIB_CFG, layout=CUT))
 
 
+@register(
+    "full_features_one_series",
+    FULL_SQL.replace(BARS, MKT).replace("FROM bars", "FROM mkt"),
+)
+def _(spark, sf):
+    """One long series, which only the cut windows can spread over tasks."""
+    df = mkt(spark, sf).select("ticker", "d", "close")
+    return round_library(features.build_features(df, LIB_CFG, layout=Layout(rows=300)))
+
+
 NB_CFG = FeatureConfig.notebook()
 
 

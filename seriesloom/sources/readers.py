@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,17 +32,32 @@ def load_series(
     if path.startswith(OBJECT_STORES) and not (is_csv or path.endswith(".parquet")):
         raise ValueError(f"unsupported file format: {path}; expected .csv or .parquet")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.option("header", True).csv(path) if is_csv else reader.parquet(path)
+    df = reader.option("header", True).csv(path) if is_csv else _parquet(reader, path)
     if "Date" not in df.columns:
         names = [index] if index else [c for c in INDEX_NAMES if c in df.columns]
         if not names:
             raise ValueError("expected a 'Date' column in the dataset after loading")
         df = df.withColumnRenamed(names[0], "Date")
-    if isinstance(df.schema["Date"].dataType, T.StringType):
+    kind = df.schema["Date"].dataType
+    if isinstance(kind, T.StringType):
         df = df.withColumn("Date", F.to_timestamp("Date"))
+    elif isinstance(kind, T.LongType):
+        df = df.withColumn("Date", F.timestamp_micros(F.floor(F.col("Date") / 1000)))
     return df
 
 
+def _parquet(reader: DataFrameReader, path: str) -> DataFrame:
+    """Files with nanosecond timestamps are read with those as integers."""
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PARQUET_TYPE_ILLEGAL":
+            raise
+        # Needed when the files are read, too, so the setting stays on.
+        SparkSession.active().conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        return reader.parquet(path)
+
+
 def load_monthly_csv(spark: SparkSession, path: str) -> DataFrame:
     """Monthly prices: ``Date, Price`` with a header row."""
     raw = spark.read.schema(MONTHLY_PRICES).option("header", True).csv(path)
