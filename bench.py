@@ -20,20 +20,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "ohlcv_bars",
     "monthly_returns",
-    "daily_return",
     "lags",
     "ma_partial",
-    "std_partial",
     "roll_skew",
     "roll_quantiles",
     "rsi",
     "macd",
-    "velocity_slope",
     "full_features",
     "full_features_plain",
     "full_features_nations",
     "full_features_one_series",
-    "full_features_nb",
     "calendar_features",
     "event_flags",
     "leakage_corr",
@@ -43,7 +39,6 @@ HEADLINE = [
     "decompose_seasonal",
     "acf",
     "forecast_metrics",
-    "ensemble",
     "describe",
     "dedupe_key",
     "derived_ratio",
@@ -67,7 +62,7 @@ def duckdb_seconds(sf_dir: str, names: list[str], cpus: int) -> dict[str, float]
     for name in names:
         if name in ORACLES:
             start = time.perf_counter()
-            con.execute(ORACLES[name]).fetch_arrow_table()
+            con.execute(ORACLES[name]).fetchall()
             out[name] = round(time.perf_counter() - start, 3)
     return out
 

@@ -123,10 +123,15 @@ def rounded(df: DataFrame, digits: int = 4, cols: Sequence[str] | None = None) -
     names = cols or [
         f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     ]
-    shift = F.lit(SHIFT * 10.0**-digits)
+    shift = SHIFT * 10.0**-digits
     # Adding zero turns a negative zero into zero.
-    return df.withColumns(
-        {c: F.round(F.col(c) + shift, digits) + F.lit(0.0) for c in names}
+    return df.selectExpr(
+        *(
+            f"round(`{c}` + {shift!r}D, {digits}) + 0.0D AS `{c}`"
+            if c in names
+            else f"`{c}`"
+            for c in df.columns
+        )
     )
 
 

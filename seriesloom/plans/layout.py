@@ -46,6 +46,8 @@ class Layout:
     slice_days: int | None = None
     slice_by: Callable[[Column], Column] | None = field(default=None, compare=False)
     tie: tuple[str, ...] = ()
+    # Tasks the buckets are spread over; default is spark.sql.shuffle.partitions.
+    tasks: int | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in ("bucketed", "plain"):
@@ -208,10 +210,14 @@ def bucket_rows(
         targets.append(copy_to(-1, (offset < ahead) & (own > 0)))
     if len(targets) == 1:
         out = placed.withColumns({BUCKET: own, HALO: F.lit(False)})
-        return Laid(out, layout)
-    out = (
-        placed.withColumn("__t", F.explode(F.concat(*targets)))
-        .withColumns({BUCKET: F.col("__t.b"), HALO: F.col("__t.h")})
-        .drop("__t")
+    else:
+        out = (
+            placed.withColumn("__t", F.explode(F.concat(*targets)))
+            .withColumns({BUCKET: F.col("__t.b"), HALO: F.col("__t.h")})
+            .drop("__t")
+        )
+    # Windows do much work per byte, so their tasks are not to be merged by size.
+    tasks = layout.tasks or int(
+        placed.sparkSession.conf.get("spark.sql.shuffle.partitions")
     )
-    return Laid(out, layout)
+    return Laid(out.repartition(tasks, layout.key, BUCKET), layout)
