@@ -47,8 +47,15 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """An input table; its schema is looked up once, which saves a job per read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ DECOMP = f"""{ROWS}, t AS (SELECT *, CASE WHEN rn > {_H} AND rn <= n - {_H} THEN
   + (lag(close, {_H}) {W} + lead(close, {_H}) {W}) / 2) / {PERIOD} END AS trend FROM x),
 ph AS (SELECT ticker, (rn - 1) % {PERIOD} AS phase, avg(close - trend) AS m FROM t GROUP BY 1, 2),
 se AS (SELECT ticker, phase, m - avg(m) OVER (PARTITION BY ticker) AS seasonal FROM ph),
-dc AS (SELECT t.ticker, d, close, trend, seasonal FROM t JOIN se ON se.ticker = t.ticker AND se.phase = (rn - 1) % {PERIOD})"""
+dc AS (SELECT t.ticker, d, close, CASE WHEN n >= {2 * PERIOD} THEN trend END AS trend,
+ CASE WHEN n >= {2 * PERIOD} THEN seasonal END AS seasonal FROM t JOIN se ON se.ticker = t.ticker AND se.phase = (rn - 1) % {PERIOD})"""
 
 
 def _decomposed(name: str, sql: str):
