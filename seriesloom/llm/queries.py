@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesloom.llm import sharding  # noqa: F401  (imports register the queries)
+from seriesloom.llm import quality, sharding  # noqa: F401  (imports register the queries)
 from seriesloom.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
