@@ -1,13 +1,71 @@
-"""Corpus preparation in stages; each works on all that the one before it kept."""
+"""Corpus preparation in five stages; each works on all that the one before it kept.
+
+run() writes each stage's rows as a table in the shared folder and reads them back, which
+also cuts the lineage; the last stage's rows are returned unwritten.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seriesloom.llm import decontam, jaccard, packing, quality, secrets
+from seriesloom.session import ensure_checkpoint_dir, prepare_session
+
+#: Hashes, MinHash values and tokenizers are beyond SQL; tests/llm/test_pipeline.py checks the
+#: stages against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, that of the least id."""
+    return jaccard.keep_first(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item go."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced; every document stays, with the length of its new text."""
+    clean = secrets.redacted(docs, secrets.fit(docs.select("doc_id", "text")))
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.length("text").cast(kind)).select(docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences."""
+    return packing.pack(
+        packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("best_fit_packing", best_fit_packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare_session(spark)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            path = f"{root}/{number}-{name}.parquet"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

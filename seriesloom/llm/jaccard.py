@@ -429,6 +429,13 @@ def numbered(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return cut_lineage(docs.withColumn("row", F.monotonically_increasing_id()))
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each class, that of the least number, with all columns of `docs`."""
+    rows = numbered(docs)
+    first = link(rows).where("row = class_row").select("row")
+    return rows.join(first, "row", "left_semi").select(docs.columns)
+
+
 @register("op6_jaccard")
 def op6_jaccard(spark, sf_dir):
     """Class (its least doc_id), links and copies of every document."""

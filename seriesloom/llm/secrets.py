@@ -201,6 +201,22 @@ def redact(text: str, spans_text: str, mark: str = "[secret]") -> str:
     return "".join([*out, text[at:]])
 
 
+def redacted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """`docs` with the secrets in `text` replaced; all rows and columns stay, a null stays null."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            new = []
+            for t in batch.column(text).to_pylist():
+                found = spans(t or "", held.value)
+                new.append(redact(t, show(found)) if found else t)
+            yield batch.set_column(at, text, pa.array(new, batch.schema.field(text).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @register("op10_secrets")
 def op10_secrets(spark, sf_dir):
     """Secrets in every document."""
