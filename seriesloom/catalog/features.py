@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
@@ -511,15 +513,16 @@ def _(spark, sf):
     return rounded(rounded(rounded(out, 5, five), 6, six), 4, rest)
 
 
-LEAK_COLS = ["lag_1", "lag_5", "ma_5", "ma_20", "std_20", "roll_max_10", "momentum_5", "velocidad_5", "target_diff"]
+LEAK_COLS = re.findall(r'AS "?([^\W\d]\w*)"?(?:,|$)', ", ".join(library_sql_columns()))
+# Unrounded, so that the correlations can be compared to six digits.
+_EXACT = [re.sub(r"ROUND\((.*?) \+ [0-9.e-]+, \d+\) \+ 0\.0 AS", r"(\1) AS", c, flags=re.S) for c in library_sql_columns()]
 
 
 @register(
     "leakage_corr",
-    f"""WITH {ROWS}, f AS (SELECT ticker, d, rn, close AS target, lag(close, 1) {W} AS lag_1, lag(close, 5) {W} AS lag_5,
-avg(close) {prev(5)} AS ma_5, avg(close) {prev(20)} AS ma_20, stddev_samp(close) {prev(20)} AS std_20, max(close) {prev(10)} AS roll_max_10,
-close / NULLIF(lag(close, 5) {W}, 0) - 1 AS momentum_5, (close - lag(close, 5) {W}) / 5 AS velocidad_5, close - lag(close, 1) {W} AS target_diff, lead(close) {W} AS nxt FROM x)
-{' UNION ALL '.join(f"SELECT ticker, '{c}' AS feature, {rnd(f"corr({c}, nxt)", 6)} AS future_corr FROM f GROUP BY 1" for c in LEAK_COLS)}""",
+    f"""WITH {ROWS}, f AS (SELECT ticker, d, lead(close) {W} AS nxt, {', '.join(_EXACT)} FROM x)
+SELECT * FROM ({' UNION ALL '.join(f"SELECT ticker, '{c}' AS feature, {rnd(f"corr(CAST({c} AS DOUBLE), nxt)", 6)} AS future_corr FROM f GROUP BY 1" for c in LEAK_COLS)})
+WHERE future_corr IS NOT NULL AND NOT isnan(future_corr)""",
 )
 def _(spark, sf):
     df = features.build_features(closes(spark, sf), LIB_CFG, layout=CUT, keep_pos=True)
@@ -558,35 +561,27 @@ def _(spark, sf):
     return round_library(df)
 
 
-SMALL_CFG = FeatureConfig(lags=(1, 5), means=(5,), stds=None, rolls=None, with_technical=False, with_dates=False, momentum=(5,))
+def ml_sql(label: str) -> str:
+    """The library features with another label; complete rows, split by dates."""
+    return f"""WITH {BARS}, f AS (SELECT ticker, d, {label} AS label, {', '.join(library_sql_columns()[:-1])} FROM bars),
+c AS (SELECT * FROM f WHERE label IS NOT NULL AND momentum_20 IS NOT NULL AND ma_ratio_5_50 IS NOT NULL AND std_5 IS NOT NULL AND roll_kurt_5 IS NOT NULL)
+SELECT *, 'train' AS split FROM c WHERE d BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}' UNION ALL SELECT *, 'test' FROM c WHERE d >= DATE '{TEST_START}'"""
 
 
-@register(
-    "ml_dataset_diff",
-    f"""WITH {BARS}, f AS (SELECT ticker, d, close - lag(close) {W} AS label, lag(close, 1) {W} AS lag_1, lag(close, 5) {W} AS lag_5,
-{r(f"avg(close) {prev(5)}", "ma_5")}, {r(f"close / NULLIF(lag(close, 5) {W}, 0) - 1", "momentum_5", 6)}, {r(f"(close - lag(close, 5) {W}) / 5", "velocidad_5")} FROM bars),
-c AS (SELECT * REPLACE ({rnd("label")} AS label) FROM f WHERE lag_5 IS NOT NULL AND label IS NOT NULL)
-SELECT *, 'train' AS split FROM c WHERE d BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}' UNION ALL SELECT *, 'test' FROM c WHERE d >= DATE '{TEST_START}'""",
-)
+@register("ml_dataset_diff", ml_sql(rnd(f"close - lag(close) {W}")))
 def _(spark, sf):
     df = datasets.ml_dataset(
-        closes(spark, sf), *TRAIN, TEST_START, target="diff", cfg=SMALL_CFG, layout=CUT
+        closes(spark, sf), *TRAIN, TEST_START, target="diff", cfg=ML_CFG, layout=CUT
     )
-    return rounded(rounded(df, 6, ["momentum_5"]), 4, ["ma_5", "velocidad_5", "label"])
+    return rounded(round_library(df), 4, ["label"])
 
 
-@register(
-    "ml_dataset_h30",
-    f"""WITH {BARS}, f AS (SELECT ticker, d, lead(close, 30) {W} AS label, lag(close, 1) {W} AS lag_1, lag(close, 5) {W} AS lag_5,
-{r(f"avg(close) {prev(5)}", "ma_5")}, {r(f"close / NULLIF(lag(close, 5) {W}, 0) - 1", "momentum_5", 6)}, {r(f"(close - lag(close, 5) {W}) / 5", "velocidad_5")} FROM bars),
-c AS (SELECT * FROM f WHERE lag_5 IS NOT NULL AND label IS NOT NULL)
-SELECT *, 'train' AS split FROM c WHERE d BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}' UNION ALL SELECT *, 'test' FROM c WHERE d >= DATE '{TEST_START}'""",
-)
+@register("ml_dataset_h30", ml_sql(f"lead(close, 30) {W}"))
 def _(spark, sf):
     df = datasets.ml_dataset(
-        closes(spark, sf), *TRAIN, TEST_START, target="h30", cfg=SMALL_CFG, layout=CUT
+        closes(spark, sf), *TRAIN, TEST_START, target="h30", cfg=ML_CFG, layout=CUT
     )
-    return rounded(rounded(df, 6, ["momentum_5"]), 4, ["ma_5", "velocidad_5"])
+    return round_library(df)
 
 
 @register(

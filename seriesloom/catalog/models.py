@@ -15,7 +15,7 @@ from seriesloom.catalog.base import (
     rounded,
     table,
 )
-from seriesloom.catalog.features import SMALL_CFG
+from seriesloom.catalog.features import ML_CFG
 from seriesloom.catalog.prep import FORECAST_SQL, scratch, simple_forecasts
 from seriesloom.operators import (
     additive,
@@ -90,22 +90,22 @@ def _(spark, sf):
     return additive.additive_forecast(fit, 30, history=df, cfg=ADDITIVE)
 
 
-def _ml(spark, sf, cfg=SMALL_CFG):
+def _ml(spark, sf, cfg=ML_CFG):
     return datasets.ml_dataset(closes(spark, sf), *TRAIN, TEST_START, cfg=cfg, layout=CUT)
 
 
 @register("gbt_fit_score")
 def _(spark, sf):
     """Boosted trees on the training years, scored on the test years."""
-    data, cols = _ml(spark, sf), feature_names(SMALL_CFG)
-    model = trees.gbt_fit(data.where(F.col("split") == "train"), cols, rounds=10, depth=4)
+    data, cols = _ml(spark, sf), feature_names(ML_CFG)
+    model = trees.gbt_fit(data.where(F.col("split") == "train"), cols)
     scored = trees.gbt_score(model, data.where(F.col("split") == "test"), cols)
     return scored.select("ticker", "d", F.col("label").alias("y"), "yhat")
 
 
 def _importances(spark, sf):
-    data, cols = _ml(spark, sf), feature_names(SMALL_CFG)
-    model = trees.gbt_fit(data.where(F.col("split") == "train"), cols, rounds=5, depth=4)
+    data, cols = _ml(spark, sf), feature_names(ML_CFG)
+    model = trees.gbt_fit(data.where(F.col("split") == "train"), cols)
     return trees.feature_importance(model, cols, 10)
 
 
@@ -117,7 +117,7 @@ def _(spark, sf):
 @register("training_summary")
 def _(spark, sf):
     """Scores of the autoregressive grid winner and the strongest tree features."""
-    best = arima.arima_grid(training(spark, sf), 2, 1, 2, layout=CUT).where("best")
+    best = arima.arima_grid(training(spark, sf), 5, 2, 5, layout=CUT).where("best")
     runs = best.select(
         F.concat(F.lit("arima_"), F.lower("ticker")).alias("model"), "aic", "bic"
     ).unionByName(
@@ -137,13 +137,13 @@ def _sequence_model(spark, sf):
     df = training(spark, sf)
     flat = sequences.flat_sequences(sequences.sequences(df, ["close"], "close", LENGTH, CUT), LENGTH)
     cols = [f"x{i + 1}" for i in range(LENGTH)]
-    return trees.gbt_fit(flat, cols, "y", rounds=5, depth=3), trees.last_windows(df, LENGTH, "close", CUT)
+    return trees.gbt_fit(flat, cols, "y"), trees.last_windows(df, LENGTH, "close", CUT)
 
 
 @register("recursive_forecast")
 def _(spark, sf):
     model, state = _sequence_model(spark, sf)
-    return trees.recursive_forecast(model, state, LENGTH, 12)
+    return trees.recursive_forecast(model, state, LENGTH)
 
 
 @register("next_step")
@@ -202,7 +202,7 @@ _ensemble(
 @register("forecast_all")
 def _(spark, sf):
     """Every model family over the requested range, with its ledger status."""
-    fc, runs = forecasting.forecast_all(closes(spark, sf), 10, layout=CUT, start=TRAIN[0], end=TRAIN[1])
+    fc, runs = forecasting.forecast_all(closes(spark, sf), 30, layout=CUT, start=TRAIN[0], end=TRAIN[1])
     return fc.join(runs.select("model", "status"), "model")
 
 
@@ -218,15 +218,15 @@ def _(spark, sf):
 
 @register("rf_cv")
 def _(spark, sf):
-    return trees.rf_cv(_documents(spark, sf), DOC_COLS, "quality", trees=10, folds=5)
+    return trees.rf_cv(_documents(spark, sf), DOC_COLS, "quality")
 
 
 @register("rf_score")
 def _(spark, sf):
-    """A saved forest loaded again and applied to every labelled document."""
-    docs = _documents(spark, sf)
+    """A forest fitted on the labelled documents, saved, loaded and applied to every document."""
+    docs = _counted(spark, sf)
     path = f"{scratch(spark)}/forest"
-    trees.rf_fit(docs, DOC_COLS, "quality", trees=10).write().overwrite().save(path)
+    trees.rf_fit(_documents(spark, sf), DOC_COLS, "quality").write().overwrite().save(path)
     return trees.rf_score(path, docs, DOC_COLS, ["doc_id"])
 
 
@@ -234,7 +234,13 @@ DOC_COLS = ["n_chars", "n_words", "n_lines", "digit_share"]
 
 
 def _documents(spark, sf):
-    """Labelled documents with counts over their whole text."""
+    """The labelled documents with their label."""
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    return _counted(spark, sf).join(labels, "doc_id")
+
+
+def _counted(spark, sf):
+    """All documents with counts over their whole text."""
     text = F.col("text")
     docs = table(spark, sf, "documents").select(
         "doc_id",
@@ -245,5 +251,4 @@ def _documents(spark, sf):
             F.length(F.regexp_replace(text, "[^0-9]", "")), F.length(text)
         ).alias("digit_share"),
     )
-    labels = table(spark, sf, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id").na.fill(0.0, ["digit_share"])
+    return docs.na.fill(0.0, ["digit_share"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime
 
@@ -32,16 +31,14 @@ from seriesloom.functions.rolling import lags, rolling_mean
 from seriesloom.operators import filters, joins, ledger, metrics, profiling, quality, returns, scaling
 from seriesloom.operators.features import forward_target
 from seriesloom.plans.layout import POS, lay_out, with_positions
+from seriesloom.session import ensure_checkpoint_dir
 from seriesloom.sources import bars as bar_source
 from seriesloom.sources import readers, sinks, snapshots
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for one round trip: below the cluster's shared folder when it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="seriesloom-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4()}"
+    """A new folder for one round trip, below the shared folder that the cluster names."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4()}"
 
 
 # ---- sources and sinks -------------------------------------------------------
@@ -466,12 +463,12 @@ def _(spark, sf):
 
 @register(
     "positional_align",
-    f"""WITH {ROWS}, v AS (SELECT ticker, rn AS step, close AS yhat FROM x WHERE rn <= 300),
+    f"""WITH {ROWS}, v AS (SELECT ticker, rn AS step, close AS yhat FROM x ),
 t AS (SELECT ticker, d, row_number() OVER (PARTITION BY ticker ORDER BY d) AS step FROM bars WHERE d >= DATE '{TEST_START}')
 SELECT ticker, CAST(step AS INTEGER) AS step, yhat, d FROM v JOIN t USING (ticker, step)""",
 )
 def _(spark, sf):
-    values = with_positions(closes(spark, sf), CUT).where(F.col(POS) < 300).select(
+    values = with_positions(closes(spark, sf), CUT).select(
         "ticker", (F.col(POS) + 1).cast("int").alias("step"), F.col("close").alias("yhat")
     )
     dates = filters.between_ts(closes(spark, sf), TEST_START, None).select("ticker", "d")
@@ -627,9 +624,9 @@ def _describe_sql(c: str) -> str:
 {r(f"quantile_cont({c}, 0.25)", "q25")}, {r(f"quantile_cont({c}, 0.5)", "median")}, {r(f"quantile_cont({c}, 0.75)", "q75")}, {r(f"max({c})::DOUBLE", "max")} FROM customer"""
 
 
-@register("describe", _describe_sql("c_acctbal") + " UNION ALL " + _describe_sql("c_nationkey"))
+@register("describe", " UNION ALL ".join(map(_describe_sql, ("c_acctbal", "c_custkey", "c_nationkey"))))
 def _(spark, sf):
-    return rounded(profiling.describe(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"]))
+    return rounded(profiling.describe(table(spark, sf, "customer"), ["c_acctbal", "c_custkey", "c_nationkey"]))
 
 
 @register(

@@ -83,6 +83,6 @@ def running_total(spark, sf):
     """Cumulated centred closes of one segment: a series that needs differencing."""
     df = closes(spark, sf).where(F.col("ticker") == "BUILDING")
     mean = df.groupBy("ticker").agg(F.avg("close").alias("m"))
-    centred = attach(df, mean, ["ticker"], "d").withColumn("c", F.col("close") - F.col("m"))
+    centred = attach(df, mean, ["ticker"]).withColumn("c", F.col("close") - F.col("m"))
     summed = with_positions(centred, CUT, running={"total": F.col("c")})
     return summed.select(F.lit("BUILDING_SUM").alias("ticker"), "d", F.col("total").alias("close"))

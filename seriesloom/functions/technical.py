@@ -9,7 +9,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.rolling import before, gated
-from seriesloom.plans.layout import BUCKET, POS, Laid
+from seriesloom.plans.layout import BUCKET, HALO, POS, Laid
 
 # Weight below which older rows no longer change a double.
 NEGLIGIBLE = 1e-17
@@ -85,6 +85,9 @@ def ewm(laid: Laid, x: str, spans: Mapping[str, float]) -> Laid:
     read in fixed chunks long enough for a weight to vanish, so one running sum
     inside the chunk plus the total of the chunk before is the whole sum: constant
     work per row instead of a frame per row. Needs ``back >= ewm_back(spans)``.
+
+    Nulls leave the mean as it was. Where they fill a bucket and its halo, the mean
+    comes from the nearest bucket before that has one: a table of one row per bucket.
     """
     key = laid.layout.key
     for size, group in _chunk_groups(spans):
@@ -134,7 +137,29 @@ def ewm(laid: Laid, x: str, spans: Mapping[str, float]) -> Laid:
         held = {name: F.last(name, True).over(upto) for name in group}
         laid = laid.with_columns(held)
         laid = Laid(laid.df.drop("__chunk", "__j", *totals), laid.layout)
-    return laid
+    return laid if laid.layout.mode == "plain" else _carry(laid, list(spans))
+
+
+def _carry(laid: Laid, names: list[str]) -> Laid:
+    """Fill leading nulls of a bucket with the last value of the buckets before it.
+
+    The last value of a bucket is its last row's, as values are held within it.
+    """
+    key = laid.layout.key
+    ends = laid.df.where(~F.col(HALO)).groupBy(key, BUCKET).agg(
+        *(F.max_by(n, POS).alias(f"__end_{n}") for n in names)
+    )
+    past = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before_ = ends.select(
+        key, BUCKET, *(F.last(f"__end_{n}", True).over(past).alias(f"__past_{n}") for n in names)
+    )
+    joined = laid.df.join(before_, [key, BUCKET], "left")
+    return Laid(
+        joined.withColumns({n: F.coalesce(n, f"__past_{n}") for n in names}).drop(
+            *(f"__past_{n}" for n in names)
+        ),
+        laid.layout,
+    )
 
 
 def macd_back(fast: int = 12, slow: int = 26, signal: int = 9) -> int:

@@ -99,7 +99,7 @@ def additive_fit(
         F.max("__d").alias("t1"),
         F.when(top > 0, top).otherwise(F.lit(1.0)).alias("scale"),
     )
-    rows = attach(x, stats, [key], "__d")
+    rows = attach(x, stats, [key])
     cols = design(cfg, F.col("__d"), F.col("t0"), F.col("t1"))
     wide = rows.select(
         key,
@@ -144,7 +144,7 @@ def additive_score(
     ts: str = "d",
 ) -> DataFrame:
     """``yhat, lower, upper`` for given dates, all in Spark expressions."""
-    rows = attach(dates, fit.select(key, "t0", "t1", "coef", "sigma"), [key], ts, how="inner")
+    rows = attach(dates, fit.select(key, "t0", "t1", "coef", "sigma"), [key], how="inner")
     cols = design(cfg, F.col(ts).cast("date"), F.col("t0"), F.col("t1"))
     yhat = F.lit(0.0)
     for i, c in enumerate(cols.values()):

@@ -96,7 +96,7 @@ def _scaled(df: DataFrame, value: str, exog: Sequence[str], layout: Layout) -> t
         "centre",
         F.when(F.col("__s") > 0, F.col("__s")).otherwise(F.lit(1.0)).alias("scale"),
     )
-    rows = attach(x, stats, [layout.key], layout.ts).withColumn(
+    rows = attach(x, stats, [layout.key]).withColumn(
         "__x", (F.col("__x") - F.col("centre")) / F.col("scale")
     )
     return rows.drop("centre", "scale"), stats
@@ -160,7 +160,7 @@ def _residual_stage(
 
     sums = gram(design, key, [*first, z])
     coefs = cut_lineage(per_series(sums, solve, f"{key} string, __coef array<double>"))
-    joined = attach(laid.df, coefs, [key], layout.ts)
+    joined = attach(laid.df, coefs, [key])
     fitted = (
         F.get("__coef", F.lit(0))
         + _dot(exog, "__coef", 1)

@@ -23,7 +23,7 @@ def autocovariances(
     """
     x = df.select(layout.key, layout.ts, F.col(value).cast("double").alias("__x"))
     means = x.groupBy(layout.key).agg(F.avg("__x").alias("__m"))
-    centred = attach(x, means, [layout.key], layout.ts).withColumn(
+    centred = attach(x, means, [layout.key]).withColumn(
         "__c", F.col("__x") - F.col("__m")
     )
     laid = lay_out(centred.drop("__x", "__m"), layout, back=k)

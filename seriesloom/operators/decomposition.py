@@ -72,7 +72,7 @@ def decompose(
         F.when(enough, centred).alias("seasonal"),
         enough.alias("__enough"),
     )
-    out = attach(phased, seasons, [layout.key, "__phase"], layout.ts)
+    out = attach(phased, seasons, [layout.key, "__phase"])
     trend = F.when(F.col("__enough"), F.col("trend"))
     resid = (
         x - trend - F.col("seasonal")

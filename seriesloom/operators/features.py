@@ -216,7 +216,7 @@ def reconstruct_level(
     """
     sums = {f"__cum_{c}": F.col(c).cast("double") for c in diffs}
     placed = with_positions(df, layout, running=sums).drop(POS)
-    joined = attach(placed, base, [layout.key], layout.ts)
+    joined = attach(placed, base, [layout.key])
     return joined.withColumns(
         {name: F.col("base") + F.col(f"__cum_{c}") for c, name in diffs.items()}
     ).drop("base", *sums)

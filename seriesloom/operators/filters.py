@@ -86,7 +86,6 @@ def split_ratio(
         with_positions(df, layout),
         series_length(df, layout.key),
         [layout.key],
-        layout.ts,
     )
     is_train = F.col(POS) < F.floor(F.col("__n") * F.lit(ratio))
     return placed.withColumn(
@@ -111,7 +110,7 @@ def warmup_trim(
     for c in cols:
         any_null = any_null | F.col(c).isNull()
     nulls = placed.groupBy(layout.key).agg(F.max(any_null).alias("__nulls"))
-    flagged = attach(placed, nulls, [layout.key], layout.ts)
+    flagged = attach(placed, nulls, [layout.key])
     keep = (F.col(POS) >= k) | ~F.col("__nulls")
     return flagged.where(keep).drop(POS, "__nulls")
 

@@ -88,7 +88,7 @@ def forecast_all(
             tables.append(cut_lineage(table))
             status, message = "success", f"{name} trained"
         except Exception as e:  # one model's failure is data for the ledger
-            status, message = "failed", f"{type(e).__name__}: {str(e)[:200]}"
+            status, message = "failed", f"{type(e).__name__}: {e}"
         runs.append((job_id, name, status, time.monotonic() - began, message, None, None))
     ledger = df.sparkSession.createDataFrame(runs, LEDGER)
     if not tables:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,6 @@ from pyspark.sql import functions as F
 from seriesloom.plans.groupstats import attach as attach_stats
 from seriesloom.plans.layout import POS, Layout, with_positions
 
-# Up to this many periods an event test is written as a literal predicate;
-# longer calendars are joined by day.
-MAX_LITERAL_EVENTS = 64
-
 Event = Sequence[str] | str
 
 
@@ -78,41 +75,62 @@ def event_flags(
     day_granular: bool = True,
     name: str = "event",
 ) -> DataFrame:
-    """0/1 flag of the rows inside any event, or one flag ``event_1..n`` per event."""
-    tests = [in_event(F.col(ts), e, day_granular) for e in events]
+    """0/1 flag of the rows inside any event, or one flag ``event_1..n`` per event.
+
+    A null time has a null flag; a period that ends before it starts marks nothing.
+    """
     if per_event:
-        return df.withColumns(
-            {f"{name}_{i}": t.cast("int") for i, t in enumerate(tests, 1)}
-        )
-    if len(events) > MAX_LITERAL_EVENTS:
-        spark = df.sparkSession
-        rows = [period_days(e) for e in events]
-        periods = spark.createDataFrame(rows, "start string, end string").select(
-            F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end")
-        )
-        return event_flags_table(df, periods, ts, name=name)
+        tests = {
+            f"{name}_{i}": in_event(F.col(ts), e, day_granular).cast("int")
+            for i, e in enumerate(events, 1)
+        }
+        return df.withColumns(tests)
     hit = F.lit(False)
-    for t in tests:
-        hit = hit | t
+    for period in merged_periods(events, day_granular):
+        hit = hit | in_event(F.col(ts), period, day_granular)
+    if events:
+        hit = F.when(F.col(ts).isNotNull(), hit)
     return df.withColumn(name, hit.cast("int"))
 
 
+def merged_periods(
+    events: Sequence[Event], day_granular: bool = True
+) -> list[tuple[str, str]]:
+    """The same instants as disjoint periods in order; empty periods are left out.
+
+    Day-granular periods also merge when the next one starts on the day after.
+    """
+    days = sorted(
+        (date.fromisoformat(a), date.fromisoformat(b)) for a, b in map(period_days, events)
+    )
+    gap = timedelta(days=1 if day_granular else 0)
+    out: list[list[date]] = []
+    for first, last in days:
+        if last < first:
+            continue
+        if out and first <= out[-1][1] + gap:
+            out[-1][1] = max(out[-1][1], last)
+        else:
+            out.append([first, last])
+    return [(a.isoformat(), b.isoformat()) for a, b in out]
+
+
 def event_flags_table(
     df: DataFrame, events: DataFrame, ts: str = "d", name: str = "event"
 ) -> DataFrame:
     """Day-granular flag from a table of ``start, end`` dates.
 
     Periods are opened into distinct days, so the interval test becomes an equi
-    join on the day; its size is the number of calendar days covered.
+    join on the day; its size is the number of calendar days covered. A null time
+    has a null flag; a period that ends before it starts marks nothing.
     """
-    days = events.select(
+    days = events.where(F.col("start") <= F.col("end")).select(
         F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("__day")
     ).distinct()
     keyed = df.withColumn("__day", F.col(ts).cast("date"))
-    joined = attach_stats(
-        keyed, days.withColumn("__hit", F.lit(1)), ["__day"], ts
-    )
-    return joined.withColumn(name, F.coalesce("__hit", F.lit(0))).drop("__day", "__hit")
+    joined = attach_stats(keyed, days.withColumn("__hit", F.lit(1)), ["__day"])
+    hit = F.when(F.col(ts).isNotNull(), F.coalesce("__hit", F.lit(0)))
+    return joined.withColumn(name, hit).drop("__day", "__hit")
 
 
 def event_coverage(

@@ -50,7 +50,7 @@ def ensemble(
     shortest = lengths.groupBy(key).agg(F.min("__len").alias("__len"))
     steps = forecasts.groupBy(key, "step").agg(combined.alias("yhat"))
     return (
-        attach(steps, shortest, [key], "step")
+        attach(steps, shortest, [key])
         .where(F.col("step") <= F.col("__len"))
         .drop("__len")
     )

@@ -62,7 +62,9 @@ def leakage_corr(
     aggs = []
     for c in cols:
         x = F.when(F.col("__next").isNotNull(), F.col(c).cast("double"))
-        aggs.append(F.corr(x, F.col("__next").cast("double")).alias(c))
+        y = F.when(x.isNotNull(), F.col("__next").cast("double"))
+        spread = F.stddev_samp(x) * F.stddev_samp(y)
+        aggs.append(F.try_divide(F.covar_samp(x, y), spread).alias(c))
     corr = ahead.groupBy(*by).agg(*aggs)
     out = unpivot_row(corr, by, {c: F.col(c) for c in cols}, "feature", "future_corr")
     out = out.where(F.col("future_corr").isNotNull() & ~F.isnan("future_corr"))

@@ -43,7 +43,7 @@ def minmax_scale(
     suffix: str = "",
 ) -> DataFrame:
     """``(x - min) / (max - min)``; a constant column becomes 0."""
-    joined = attach(df, stats, [key], ts)
+    joined = attach(df, stats, [key])
     scaled = {}
     for c in cols:
         lo, hi = F.col(f"__min_{c}"), F.col(f"__max_{c}")
@@ -61,7 +61,7 @@ def minmax_inverse(
     ts: str = "d",
 ) -> DataFrame:
     """Undo the scaling: ``source`` maps each output column to the fitted column."""
-    joined = attach(df, stats, [key], ts)
+    joined = attach(df, stats, [key])
     out = {}
     for name, c in source.items():
         lo, hi = F.col(f"__min_{c}"), F.col(f"__max_{c}")

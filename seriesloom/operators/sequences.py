@@ -73,14 +73,14 @@ def sequence_dataset(
     if fit_on == "all":
         stats = fit_minmax(df, cols, layout.key)
     elif fit_on == "train":
-        counted = attach(with_positions(df, layout), n, [layout.key], layout.ts)
+        counted = attach(with_positions(df, layout), n, [layout.key])
         limit = F.floor((F.col("__n") - length) * F.lit(ratio)) + length
         stats = fit_minmax(counted, cols, layout.key, F.col(POS) < limit)
     else:
         raise ValueError(f"unknown fit_on: {fit_on}")
     scaled = minmax_scale(df, stats, cols, layout.key, layout.ts)
     seq = sequences(scaled, features, target, length, layout, keep_pos=True)
-    counted = attach(seq, n, [layout.key], layout.ts)
+    counted = attach(seq, n, [layout.key])
     is_train = F.col(POS) - length < F.floor((F.col("__n") - length) * F.lit(ratio))
     return counted.withColumn(
         "split", F.when(is_train, "train").otherwise("test")

@@ -118,7 +118,7 @@ def adf_test(
     room = F.floor(F.col("n") / 2) - 2
     stats = stats.withColumn("max_lag", F.least(rule, room).cast("int"))
     scale = F.when(F.col("__s") > 0, F.col("__s")).otherwise(F.lit(1.0))
-    z = attach(x, stats, [key], layout.ts).withColumn(
+    z = attach(x, stats, [key]).withColumn(
         "__z", (F.col("__x") - F.col("__m")) / scale
     )
     laid = lay_out(
@@ -177,7 +177,7 @@ def stationarize(
     diffs = laid.with_columns(
         {"__diff": F.col(value) - F.lag(value, 1).over(laid.w)}
     ).close()
-    flagged = attach(diffs, verdict, [layout.key], layout.ts)
+    flagged = attach(diffs, verdict, [layout.key])
     out = flagged.withColumns(
         {
             "x": F.when(F.col("__ok"), F.col(value)).otherwise(F.col("__diff")),

@@ -3,32 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-SALTS = 32
 
-
-def attach(
-    df: DataFrame,
-    stats: DataFrame,
-    on: list[str],
-    spread: str,
-    *,
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, on: list[str], *, how: str = "left") -> DataFrame:
     """Join one-row-per-group ``stats`` to ``df``.
 
-    When ``stats`` is small at run time the join is a broadcast, decided by
-    Spark from its measured size. Otherwise rows of a group are spread over
-    ``salts`` join keys by a hash of ``spread``, and each statistics row is
-    repeated once per salt, so a group holding a third of the table is joined by
-    many tasks.
+    Spark broadcasts ``stats`` when it measures that they are small; otherwise the adaptive
+    skew join splits a partition that a hot group fills, at the cost of reading that group's
+    single statistics row once per part. Nothing is copied per salt, so the broadcast table
+    is as large as measured.
     """
-    salt = F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int")
-    salted = stats.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return (
-        df.withColumn("__salt", salt).join(salted, [*on, "__salt"], how).drop("__salt")
-    )
+    return df.join(stats, on, how)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir must name a shared folder on a cluster"
             )
         named = tempfile.mkdtemp(prefix="seriesloom-ckpt-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(named)
     return named
 

@@ -49,7 +49,7 @@ def trailing_period(
     last = df.groupBy(key).agg(F.max(F.col(ts).cast("date")).alias("__last"))
     start = period_start(F.col("__last"), period)
     return (
-        attach(df, last, [key], ts)
+        attach(df, last, [key])
         .where(F.col(ts).cast("date") >= start)
         .drop("__last")
     )

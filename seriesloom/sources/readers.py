@@ -25,13 +25,17 @@ def load_series(
     """Read a ``.csv`` file as CSV and anything else as parquet, with ``Date`` parsed.
 
     Object-store paths must end in ``.csv`` or ``.parquet``. A missing ``Date``
-    is taken from the column named by ``index`` or a saved index column. Rows
+    is taken from the column named by ``index`` or a saved index column. Without a
+    ``schema`` the types of CSV columns are inferred, at the cost of one more scan. Rows
     are not sorted here: order belongs to the windows that need it.
     """
     is_csv = path.endswith(".csv")
     if path.startswith(OBJECT_STORES) and not (is_csv or path.endswith(".parquet")):
         raise ValueError(f"unsupported file format: {path}; expected .csv or .parquet")
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    if schema is not None:
+        reader = spark.read.schema(schema)
+    else:  # parquet ignores the option
+        reader = spark.read.option("inferSchema", True)
     df = reader.option("header", True).csv(path) if is_csv else _parquet(reader, path)
     if "Date" not in df.columns:
         names = [index] if index else [c for c in INDEX_NAMES if c in df.columns]
@@ -39,7 +43,9 @@ def load_series(
             raise ValueError("expected a 'Date' column in the dataset after loading")
         df = df.withColumnRenamed(names[0], "Date")
     kind = df.schema["Date"].dataType
-    if isinstance(kind, T.StringType):
+    if isinstance(kind, T.DateType):
+        df = df.withColumn("Date", F.col("Date").cast("timestamp"))
+    elif isinstance(kind, T.StringType):
         df = df.withColumn("Date", F.to_timestamp("Date"))
     elif isinstance(kind, T.LongType):
         df = df.withColumn("Date", F.timestamp_micros(F.floor(F.col("Date") / 1000)))

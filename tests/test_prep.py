@@ -258,3 +258,45 @@ def test_dedupe_and_report(spark):
     empty_class = spark.createDataFrame([(1, 1), (1, 1)], "y int, p int")
     rows = {r["class"]: r for r in profiling.classification_report(empty_class, "y", "p", [0, 1]).collect()}
     assert rows[0].precision == 0.0 and rows[1].f1 == 1.0
+
+
+@pytest.mark.parametrize("n", [1, 90])
+@pytest.mark.parametrize("day_granular", [True, False])
+def test_event_flags_do_not_depend_on_their_number(spark, n, day_granular):
+    from datetime import datetime
+
+    times = [None, datetime(2024, 1, 5, 12), datetime(2024, 1, 5), datetime(2024, 1, 2, 23), datetime(2024, 1, 9)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, ts timestamp")
+    events = [("2024-01-03", "2024-01-05"), ("2024-01-08", "2024-01-07")][:n]
+    events += [(f"1990-01-{1 + k % 28:02d}", f"1990-01-{1 + k % 28:02d}") for k in range(n - 1)]
+    got = {r.i: r.event for r in joins.event_flags(df, events, "ts", day_granular=day_granular).collect()}
+    assert got == {0: None, 1: int(day_granular), 2: 1, 3: 0, 4: 0}
+    assert [r.event for r in joins.event_flags(df, [], "ts").collect()] == [0] * 5
+
+
+def test_csv_types_are_inferred(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("Date,Close,Volume\n2024-01-02,1.5,3\n2024-01-03,,4\n")
+    df = readers.load_series(spark, str(path))
+    assert df.dtypes == [("Date", "timestamp"), ("Close", "double"), ("Volume", "int")]
+
+
+def test_gram_passes_on_no_more_than_it_reads(spark):
+    from seriesloom.plans.gram import _partials, full_matrix, gram
+
+    rng = np.random.default_rng(1)
+    k, n = 12, 4000
+    x = rng.normal(0, 1, (n, k))
+    keys = rng.integers(0, 700, n)
+    df = spark.createDataFrame(
+        [(f"s{a}", *map(float, r)) for a, r in zip(keys, x)], ["ticker", *(f"c{i}" for i in range(k))]
+    )
+    got = {r.ticker: full_matrix(r.g, k) for r in gram(df, "ticker", [f"c{i}" for i in range(k)]).collect()}
+    assert len(got) == len(set(keys))
+    for a in set(keys.tolist()):
+        np.testing.assert_allclose(got[f"s{a}"], x[keys == a].T @ x[keys == a], atol=1e-9)
+    import pyarrow as pa
+
+    batch = pa.record_batch({"ticker": [f"s{a}" for a in keys], "x": list(x)})
+    out = list(_partials("ticker", k, np.triu_indices(k))([batch]))
+    assert sum(len(b.column(2).flatten()) for b in out) <= n * k
