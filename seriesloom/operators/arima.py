@@ -21,7 +21,7 @@ from seriesloom.operators.autocorr import Z95
 from seriesloom.operators.calendars import future_calendar
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
-from seriesloom.plans.layout import Laid, Layout, bucket_rows, with_positions
+from seriesloom.plans.layout import POS, Laid, Layout, bucket_rows, with_positions
 from seriesloom.session import cut_lineage
 
 Order = tuple[int, int, int]
@@ -125,12 +125,13 @@ class Stage:
 
 
 def _residual_stage(
-    df: DataFrame, spec: Spec, value: str, layout: Layout, keep: int
+    df: DataFrame, spec: Spec, value: str, layout: Layout, keep: int, first_pos: int = 0
 ) -> Stage:
     """Rows with the differenced series, its lags, first-stage residuals and their lags.
 
     The first-stage coefficients (one short array per series) are computed and
-    stored here, so later uses do not run the first stage again.
+    stored here, so later uses do not run the first stage again. Second-stage rows
+    before position ``first_pos`` are left out.
     """
     key = layout.key
     m = spec.long_lag
@@ -170,7 +171,7 @@ def _residual_stage(
     again = again.with_columns(
         {f"__e{j}": F.lag("__e", j).over(again.w) for j in range(1, keep + 1)}
     )
-    rows = again.close().withColumn("__1", F.lit(1.0))
+    rows = again.where(F.col(POS) >= first_pos).close().withColumn("__1", F.lit(1.0))
     return Stage(rows, stats, coefs, spec)
 
 
@@ -204,6 +205,27 @@ def _tail_rows(df: DataFrame, spec: Spec, value: str, layout: Layout) -> DataFra
     )
 
 
+def stable_lags(coefs: np.ndarray, sign: float) -> np.ndarray:
+    """Coefficients of ``1 + sign * (c1 B + c2 B^2 + ...)`` with every root outside the unit circle.
+
+    A root inside is reflected, which leaves the autocorrelations of a moving average as
+    they are; a root on the circle is moved out by a thousandth.
+    """
+    poly = np.concatenate([[1.0], sign * np.asarray(coefs, dtype=float)])
+    while len(poly) > 1 and abs(poly[-1]) < 1e-12:
+        poly = poly[:-1]
+    roots = np.roots(poly[::-1])
+    if not len(roots) or np.abs(roots).min() > 1.0 + 1e-9:
+        return np.asarray(coefs, dtype=float)
+    inside = np.abs(roots) <= 1.0 + 1e-9
+    moved = np.where(inside, 1 / np.conj(roots), roots)
+    moved = np.where(np.abs(moved) < 1.001, moved / np.abs(moved) * 1.001, moved)
+    out = np.zeros(len(coefs))
+    full = np.real(np.poly(1 / moved))  # product of (1 - B / root)
+    out[: len(full) - 1] = sign * full[1:]
+    return out
+
+
 def _apply_poly(v: np.ndarray, poly: np.ndarray) -> np.ndarray:
     """Differenced values; the first ones, which lack history, are NaN."""
     out = np.full(v.shape, np.nan)
@@ -250,7 +272,9 @@ def arima_fit(
 
     The fit is computed here and its (small) table stored.
     Coefficients are in the standardised scale of the series (``centre``,
-    ``scale``); ``sigma2`` is in the series' own units.
+    ``scale``); ``sigma2`` is in the series' own units. Without seasonal lags, roots that
+    would make the model non-stationary or non-invertible are reflected and ``status``
+    is ``adjusted``; with them, such a model has status ``unstable``.
     """
     spec = Spec(tuple(order), tuple(seasonal), tuple(exog))
     key = layout.key
@@ -295,6 +319,15 @@ def arima_fit(
                     "status": "success",
                 }
         parts = np.split(beta, [1, 1 + ne, 1 + ne + na])
+        if out["status"] == "success":
+            for i, lags, sign in ((2, spec.ar, -1.0), (3, spec.ma, 1.0)):
+                dense = np.zeros(max([0, *lags]))
+                dense[[lag - 1 for lag in lags]] = parts[i]
+                better = stable_lags(dense, sign)
+                if not np.allclose(better, dense):
+                    out["status"] = "unstable" if spec.seasonal[3] else "adjusted"
+                    if not spec.seasonal[3]:
+                        parts[i] = better
         out |= {
             "const": float(parts[0][0]),
             "exog": parts[1].tolist(),
@@ -324,8 +357,9 @@ def arima_grid(
 ) -> DataFrame:
     """AIC and BIC of every order, one row per series and order, the best one flagged.
 
-    For each d one superset matrix holds every (p, q): the orders share one sample
-    and one scan.
+    For each d one superset matrix holds every (p, q), and all d use the rows that the
+    largest d can use. So every order is scored on one sample, and the choice does not
+    depend on the unit of the series.
     """
     if criterion not in ("aic", "bic"):
         raise ValueError(f"unknown criterion: {criterion}")
@@ -333,7 +367,8 @@ def arima_grid(
     tables = []
     for d in range(max_d + 1):
         spec = Spec((max_p, d, max_q))
-        stage = _residual_stage(df, spec, value, layout, max_q)
+        start = max_d + spec.long_lag + max(max_p, max_q)
+        stage = _residual_stage(df, spec, value, layout, max_q, start)
         cols = [
             "__1",
             *(f"__z{i}" for i in range(1, max_p + 1)),
@@ -410,7 +445,7 @@ def arimax_fit(
     marked = df.groupBy(key).agg(varies.alias("__varies"))
     good = cut_lineage(
         full.join(marked, key)
-        .where(F.col("__varies") & (F.col("status") == "success"))
+        .where(F.col("__varies") & (F.col("status") != "failed"))
         .drop("__varies")
     )
     rest = marked.select(key).join(good.select(key), key, "left_anti")
@@ -419,7 +454,7 @@ def arimax_fit(
     plain = arima_fit(df.join(rest, key, "left_semi"), fallback, value, layout)
     return good.unionByName(
         plain.withColumn(
-            "status", F.when(F.col("status") == "success", "fallback").otherwise("failed")
+            "status", F.when(F.col("status") != "failed", "fallback").otherwise("failed")
         )
     )
 

@@ -278,3 +278,32 @@ def test_metrics(spark):
     df = spark.createDataFrame([("A", "m", 2.0, 1.0), ("A", "m", 4.0, 6.0), ("A", "m", 0.0, 1.0)], "ticker string, model string, y double, f double")
     r = metrics.forecast_metrics(df, "y", "f").first()
     assert (r.mae, r.mse) == (pytest.approx(4 / 3), pytest.approx(2.0)) and r.mape == pytest.approx(50.0)
+
+
+def test_grid_choice_does_not_depend_on_the_unit(make, pdf):
+    walk = 1 + np.random.default_rng(4).normal(0, 1, 900).cumsum() / 100
+    got = [
+        pdf(arima.arima_grid(make({"A": walk * unit}, start="2000-01-01"), 1, 2, 1, layout=Layout(rows=400)), ["p", "d", "q"])
+        for unit in (5e4, 1e-4)
+    ]
+    assert got[0].n_obs.nunique() == 1
+    assert list(got[0].best) == list(got[1].best)
+
+
+@pytest.mark.parametrize("kind", ["noise", "walk", "smooth"])
+def test_default_order_gives_usable_models(make, pdf, kind):
+    rng = np.random.default_rng(6)
+    e = rng.normal(0, 1, 1501)
+    x = {"noise": e[1:], "walk": e[1:].cumsum(), "smooth": (e[1:] - 0.6 * e[:-1]).cumsum()}[kind]
+    df = make({"A": 200 + x}, start="2000-01-01")
+    fit = arima.arima_fit(df, layout=Layout(rows=500)).collect()[0]
+    assert fit.status in ("success", "adjusted")
+    for poly in ([1.0, *(-a for a in fit.ar)], [1.0, *fit.ma]):
+        assert all(abs(r) > 1 for r in np.roots(poly[::-1]))
+
+
+def test_reflected_roots():
+    np.testing.assert_allclose(arima.stable_lags(np.array([0.5]), 1.0), [0.5])
+    np.testing.assert_allclose(arima.stable_lags(np.array([2.0]), 1.0), [0.5])
+    np.testing.assert_allclose(arima.stable_lags(np.array([1.25]), -1.0), [0.8])
+    assert len(arima.stable_lags(np.zeros(0), 1.0)) == 0
