@@ -172,43 +172,61 @@ def forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _star(large: bool):
+    """One step over edges (u, v) sorted by u, then v: link v's to the least node around u.
+
+    Groups may span batches: the first v of a group is its least, and is carried on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # u, its least neighbour and the last v seen
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            u, v = (batch.column(k).to_numpy() for k in (0, 1))
+            begins = np.append(True, u[1:] != u[:-1])
+            least = v[np.flatnonzero(begins)]
+            again = np.append(False, (u[1:] == u[:-1]) & (v[1:] == v[:-1]))
+            if last is not None and last[0] == u[0]:
+                least[0], again[0] = last[1], last[2] == v[0]
+            least = least[np.cumsum(begins) - 1]
+            last = (u[-1], least[-1], v[-1])
+            if large:  # neighbours on both sides; those above u move
+                use = ~again & (v > u)
+                out = (v[use], np.minimum(least, u)[use])
+            else:  # neighbours below u only; they and u move
+                use = ~again & (v != least)
+                out = (np.concatenate([v[use], u[begins]]), np.concatenate([least[use], least[begins]]))
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["u", "v"])
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (least node of its component) for all nodes of `edges` (a, b long).
 
-    Rounds of hooking each root to the least root beside it, then doubling of pointers; the
-    edges shrink to those between different roots, and only long columns are shuffled.
+    Alternating large and small stars until nothing changes: each round is two shuffles of
+    pairs of numbers, with sorted groups read as streams, so no group has to fit a task.
     """
-    edges = cut_lineage(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = cut_lineage(nodes.withColumn("root", F.col("node")))
-    while not edges.isEmpty():
-        # The larger root of each edge hooks to the least smaller one: no cycles.
-        hooks = cut_lineage(edges.groupBy(F.col("b").alias("x")).agg(F.min("a").alias("y")))
-        while True:
-            up = hooks.select(F.col("x").alias("y"), F.col("y").alias("z"))
-            doubled = hooks.join(up, "y", "left").select(
-                "x", F.coalesce("z", "y").alias("y"), F.col("z").isNotNull().alias("moved")
-            )
-            doubled = cut_lineage(doubled)
-            hooks = doubled.select("x", "y")
-            if doubled.where("moved").isEmpty():
-                break
-        labels = cut_lineage(
-            labels.join(hooks, F.col("root") == F.col("x"), "left").select(
-                "node", F.coalesce("y", "root").alias("root")
-            )
-        )
-        ends = hooks.withColumnRenamed("y", "r")
-        edges = edges.join(ends.withColumnRenamed("x", "a"), "a", "left").select(
-            F.coalesce("r", "a").alias("a"), "b"
-        )
-        edges = edges.join(ends.withColumnRenamed("x", "b"), "b", "left").select(
-            "a", F.coalesce("r", "b").alias("b")
-        )
-        edges = cut_lineage(
-            edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        )
-    return labels
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    schema = "u long, v long"
+
+    def step(df: DataFrame, large: bool) -> DataFrame:
+        if large:
+            df = df.unionByName(df.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        return df.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_star(large), schema)
+
+    edges, before = cut_lineage(edges.distinct()), None
+    while True:
+        edges = cut_lineage(step(step(edges, True), False).distinct())
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v", F.lit(1)) % 1000003)).first()
+        if now == before or not now[0]:
+            break
+        before = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    )
 
 
 def in_blocks(rows: DataFrame, key: str, counts: DataFrame, block: int = BLOCK) -> DataFrame:
