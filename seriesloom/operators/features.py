@@ -153,20 +153,25 @@ def build_features(
     x = df.select(layout.key, layout.ts, F.col(value).cast("double").alias("target"))
     laid = lay_out(x, layout, back=cfg.back())
     if cfg.with_technical and cfg.full_windows:
+        # First, as exponential means read their input twice to carry values over gaps.
+        laid = technical.macd(laid, "target")
         laid = technical.rsi(laid, "target", cfg.rsi)
     cols = _frame_columns(laid, "target", cfg)
     if target_diff:
         cols["target_diff"] = F.col("target") - F.lag("target", 1).over(laid.w)
     laid = laid.with_columns(cols)
-    if cfg.with_technical and cfg.full_windows:
-        laid = technical.macd(laid, "target")
     trim = cfg.full_windows if trim is None else trim
     out = laid.close(keep_pos=trim or keep_pos)
     names = feature_names(cfg)
     if cfg.with_dates:
         out = out.withColumns(calendar_columns(F.col(layout.ts), cfg.profile))
     if trim:
-        out = warmup_trim(out, cfg.frame_reach(), [n for n in names if n in cols], layout)
+        reach, framed = cfg.frame_reach(), [n for n in names if n in cols]
+        if cfg.lags or (cfg.full_windows and (cfg.means or cfg.stds or cfg.rolls)):
+            # The first row of every series has a null there: no need to look for one.
+            out = out.where(F.col(POS) >= reach).drop(POS)
+        else:
+            out = warmup_trim(out, reach, framed, layout)
     tail = ["target_diff"] if target_diff else []
     pos = ["__pos"] if keep_pos and not trim else []
     return out.select(layout.key, layout.ts, "target", *names, *tail, *pos)
