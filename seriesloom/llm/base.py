@@ -29,7 +29,7 @@ WORD_SEPARATORS = np.zeros(256, bool)
 WORD_SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Arrow text that one numpy step takes at a time; a longer text is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

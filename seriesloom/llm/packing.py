@@ -82,20 +82,23 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch in pieces(batches, "text"):
-            rows = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(texts)):
-                ids = np.append(ids, np.uint16(end_id)).astype("<u4")
-                first = (len(ids) - 1) % capacity + 1
-                cuts = [0, *range(first, len(ids) + 1, capacity)]
-                rows += [
-                    (doc_id, k, a, b - a, zlib.crc32(ids[a:b]))
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
-                ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema
-            )
+        try:
+            for batch in pieces(batches, "text"):
+                rows = []
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(texts)):
+                    ids = np.append(ids, np.uint16(end_id)).astype("<u4")
+                    first = (len(ids) - 1) % capacity + 1
+                    cuts = [0, *range(first, len(ids) + 1, capacity)]
+                    rows += [
+                        (doc_id, k, a, b - a, zlib.crc32(ids[a:b]))
+                        for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
+                    ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema
+                )
+        finally:
+            encode.forget()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long"

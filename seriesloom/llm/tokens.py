@@ -13,8 +13,9 @@ import re
 
 import numpy as np
 
-#: Parts remembered by a worker; the cache is emptied beyond that.
-CACHE_PARTS = 600_000
+#: Parts that a generation of a task's cache holds; there are two, and a part that is met
+#: again moves to the young one.
+CACHE_PARTS = 250_000
 _PLAIN = re.compile(r"^\s| \s|\s$")
 
 
@@ -33,6 +34,11 @@ class Encoder:
             [(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)]
         )
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        """Give the cache's memory back; tasks do so at their end."""
+        self.cache, self.old = {}, {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -40,7 +46,12 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         if len(self.cache) + len(parts) > CACHE_PARTS:
-            self.cache.clear()
+            self.cache, self.old = {}, self.cache
+        known = {p: self.old[p] for p in parts if p in self.old}
+        self.cache.update(known)
+        parts = [p for p in parts if p not in known]
+        if not parts:
+            return
         ids = self._encode([" " + " ".join(parts)])[0]
         cuts = np.flatnonzero(self.spaced[ids]) * self.kind.itemsize
         raw = ids.tobytes()
@@ -66,7 +77,7 @@ class Encoder:
             if None in got:
                 self._learn(list(dict.fromkeys(p for p, x in zip(parts, got) if x is None)))
                 got = list(map(self.cache.get, parts))
-                if None in got:  # the cache was emptied in between
+                if None in got:  # the generations changed in between
                     out[i] = self._encode([texts[i]])[0]
                     continue
             out[i] = np.frombuffer(starts[first] + b"".join(got), self.kind)
@@ -77,7 +88,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One per worker process, so that the cache lives across batches and tasks."""
+    """One per worker process, so that the file is read once."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
