@@ -112,11 +112,12 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     A text enters with its first 100,000 characters at most; that bounds the sample in the
     driver. Without any words the drawn strings alone shape the model, against letters only.
     """
-    picked = (
-        docs.where(F.length("text") > 0)
-        .select(F.xxhash64(*docs.columns).alias("h"), F.substring("text", 1, 100_000).alias("t"))
-        .orderBy("h").limit(rows)
-    )
+    full = docs.where(F.length("text") > 0).withColumn("__h", F.xxhash64(*docs.columns))
+    # First the hashes alone find the sample, so that only its texts travel.
+    last = full.select("__h").orderBy("__h").limit(rows).agg(F.max("__h")).first()[0]
+    picked = full.where(F.col("__h") <= F.lit(last)).select(
+        F.substring("text", 1, 100_000).alias("t")
+    ).limit(rows) if last is not None else full.select(F.col("text").alias("t")).limit(0)
     found, ordinary = [], set()
     for row in picked.toLocalIterator():
         taken = base_spans(row.t)
