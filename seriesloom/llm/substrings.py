@@ -34,7 +34,7 @@ LENGTH, GRAM = 400, 128
 #: Window starts of one span at most, so that spans stay small in periodic text.
 SPAN = 1024
 #: Span bytes that a shard sorts at a time, about; a hash's spans are never parted.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 _SIEVE = 1 << 21
 
 
