@@ -1,8 +1,10 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 A *header* is a sentence or line that holds a license word. Its terms are weighted by
-tf * (ln((N + 1) / (df + 1)) + 1), where N and df count the headers of all texts; a term of no
-template has the largest weight, so only the templates' terms need counts. A header has the
+tf * (ln((N + 1) / (df + 1)) + 1), where N and df count the headers of all texts, for every
+term. The `HEAD` most frequent terms' counts go to every task. No other term has a larger
+count than the least of these, which bounds a cosine from above; headers and texts whose
+bound reaches the threshold meet the counts of their rarer terms in a join. A header has the
 license of the most similar template from `SIMILAR` on. A text that is similar to a template
 as a whole is a license file: its license holds for its directory and all below it that have
 none of their own nearer. A text without a header of its own takes the license of the nearest
@@ -47,91 +49,161 @@ SIGNS = r"(?i)licen[sc]|spdx|copyright|public domain|all rights reserved"
 SENTENCE = r"\n|(?<=[.!?])\s+"
 TERM = r"[a-z0-9]+"
 SIMILAR, SIMILAR_FILE = 0.7, 0.6
+#: Terms whose counts go to every task, besides those of the templates.
+HEAD = 65_536
+#: Distinct terms that a task gathers before it hands them on.
+FLUSH = 1 << 16
 
 _TERMS = sorted({t for _, text in TEMPLATES for t in re.findall(TERM, text.lower())})
 
 
-def headers(text: str = "text"):
+def headers(text: str) -> list[str]:
     """The sentences of a text that hold a license word."""
-    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SENTENCE), lambda s: F.rlike(s, F.lit(SIGNS)))
+    return [s for s in re.split(SENTENCE, text) if re.search(SIGNS, s)]
 
 
-def header_counts(docs: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
-    """Number of headers, and in how many each template term stands, over all rows."""
-    found = docs.where(F.rlike(F.col(text), F.lit(SIGNS))).select(
-        F.explode_outer(headers(text)).alias("header")
-    ).where(F.col("header").isNotNull())
-    known = F.array(*map(F.lit, _TERMS))
-    terms = F.array_intersect(
-        known, F.split(F.lower("header"), r"[^a-z0-9]+")
-    )
-    rows = (
-        found.select(F.explode(F.concat(terms, F.array(F.lit("")))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per template term
-    )
-    counts = {r.term: r.n for r in rows}
-    return counts.pop("", 0), counts
+def terms(text: str) -> list[str]:
+    return re.findall(TERM, text.lower())
+
+
+def header_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """term, n: in how many headers of all rows each term stands; '' has the number of headers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
+        for batch in pieces(batches, text):
+            for t in batch.column(text).to_pylist():
+                for header in headers(t):
+                    held.update({"", *terms(header)})
+                if len(held) > FLUSH:
+                    yield out()
+                    held.clear()
+        yield out()
+
+    signed = docs.where(F.rlike(F.col(text), F.lit(SIGNS))).select(text)
+    return signed.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 class Matcher:
-    def __init__(self, n: int, counts: dict[str, int]):
-        self.top = math.log(n + 1) + 1
-        self.weight = {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in _TERMS}
+    """`counts` are of the templates' terms and a head; no other term has more than `floor`."""
+
+    def __init__(self, n: int, counts: dict[str, int], floor: int = 0):
+        self.n, self.counts, self.floor = n, counts, floor
         self.names = [name for name, _ in TEMPLATES]
         self.place = {t: k for k, t in enumerate(_TERMS)}
         self.vectors = np.stack([self.vector(text)[0] for _, text in TEMPLATES])
         self.vectors /= np.linalg.norm(self.vectors, axis=1, keepdims=True)
 
-    def vector(self, text: str) -> tuple[np.ndarray, float]:
-        """The part of the sparse vector on template terms, and the whole norm."""
-        out, other = np.zeros(len(_TERMS)), 0.0
-        for term, n in Counter(re.findall(TERM, text.lower())).items():
+    def weight(self, count: int) -> float:
+        return math.log((self.n + 1) / (count + 1)) + 1
+
+    def vector(self, text: str) -> tuple[np.ndarray, float, dict[str, int]]:
+        """The part on template terms, the square of all known terms, and the rest with tf."""
+        out, square, rest = np.zeros(len(_TERMS)), 0.0, {}
+        for term, n in Counter(terms(text)).items():
+            if term not in self.counts and term not in self.place and self.floor:
+                rest[term] = n
+                continue
+            value = n * self.weight(self.counts.get(term, 0))
+            square += value**2
             if term in self.place:
-                out[self.place[term]] = n * self.weight[term]
-            else:
-                other += (n * self.top) ** 2
-        return out, math.sqrt(float(out @ out) + other)
-
-    def best(self, text: str) -> tuple[str | None, float]:
-        """The most similar template and the cosine; ties go to the first name."""
-        part, norm = self.vector(text)
+                out[self.place[term]] = value
+        return out, square, rest
+
+    def best(self, text: str, least: float) -> tuple | None:
+        """(name, dot product, square, rest) of the most similar template; ties go to the first.
+
+        None where the cosine is below `least` even if the rest is as frequent as can be.
+        """
+        part, square, rest = self.vector(text)
         if not part.any():
-            return None, 0.0
-        cosine = self.vectors @ part / norm
-        k = int(np.argmax(np.round(cosine, 9)))
-        return self.names[k], float(cosine[k])
+            return None
+        light = self.weight(self.floor)
+        dots = self.vectors @ part
+        most = dots / math.sqrt(square + sum((n * light) ** 2 for n in rest.values()))
+        k = int(np.argmax(np.round(most, 9)))
+        return (self.names[k], float(dots[k]), square, rest) if most[k] >= least - 1e-9 else None
+
+    def candidates(self, text: str) -> list[tuple]:
+        """(place, *best) of each header that can have a license; place -1: the whole text."""
+        found = [(i, *x) for i, h in enumerate(headers(text)) if (x := self.best(h, SIMILAR))]
+        if found and (x := self.best(text, SIMILAR_FILE)):
+            found.append((-1, *x))
+        return found
 
     def scan(self, text: str) -> tuple[str | None, float, str | None]:
-        """Own license, its cosine, and the license that the text states as a file."""
-        own = (None, 0.0)
-        for sentence in re.split(SENTENCE, text):
-            if re.search(SIGNS, sentence):
-                found = self.best(sentence)
-                if found[1] > own[1]:
-                    own = found
-        if own[1] < SIMILAR:
-            return None, own[1], None
-        name, cosine = self.best(text)
-        return own[0], own[1], name if cosine >= SIMILAR_FILE else None
-
-
-def own_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
+        """Own license, its cosine, and the license that the text states as a file.
+
+        Terms without a count have none.
+        """
+        own, file = (None, 0.0), None
+        for at, name, dot, square, rest in self.candidates(text):
+            cosine = dot / math.sqrt(square + sum((n * self.weight(0)) ** 2 for n in rest.values()))
+            if at < 0:
+                file = name if cosine >= SIMILAR_FILE else None
+            elif cosine >= SIMILAR and cosine > own[1]:
+                own = (name, cosine)
+        return *own, file if own[0] else None
+
+
+_OPEN = pa.list_(pa.struct([
+    ("at", pa.int32()), ("name", pa.string()), ("dot", pa.float64()), ("square", pa.float64()),
+    ("rest", pa.list_(pa.string())), ("times", pa.list_(pa.int64())),
+]))
+
+
+def own_licenses(docs: DataFrame, text: str = "text", head: int = HEAD) -> DataFrame:
     """`docs` without the text, with own, cosine, file: only rows with a license word."""
-    model = Matcher(*header_counts(docs, text))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    counts = cut_lineage(header_counts(docs, text))
+    top = {r.term: r.n for r in counts.orderBy(F.desc("n"), "term").limit(head + 1).collect()}
+    number = top.pop("", 0)  # no term has more, and '' is the first of those with as many
+    floor = min(top.values(), default=number) if counts.count() > len(top) + 1 else 0
+    top |= {r.term: r.n for r in counts.where(F.col("term").isin(_TERMS)).collect()}
+    held = docs.sparkSession.sparkContext.broadcast(Matcher(number, top, floor))
     names = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
-            own, cosine, file = zip(*(held.value.scan(t) for t in batch.column(text).to_pylist()))
+            found = [
+                [(at, name, dot, square, list(rest), list(rest.values())) for at, name, dot, square, rest in x]
+                for x in map(held.value.candidates, batch.column(text).to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(own, pa.string()), pa.array(cosine), pa.array(file, pa.string())],
-                [*names, "own", "cosine", "file"],
+                [*(batch.column(c) for c in names), pa.array(found, _OPEN)], [*names, "open"]
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
-    return docs.where(F.rlike(F.col(text), F.lit(SIGNS))).mapInArrow(
-        run, f"{schema}, own string, cosine double, file string"
+    part = cut_lineage(
+        docs.where(F.rlike(F.col(text), F.lit(SIGNS))).mapInArrow(
+            run,
+            f"{schema}, open array<struct<at: int, name: string, dot: double, square: double,"
+            " rest: array<string>, times: array<bigint>>>",
+        ).withColumn("row", F.monotonically_increasing_id())
+    )
+    found = part.select("row", F.explode("open").alias("x")).select("row", "x.*")
+    weight = F.log((F.lit(number) + 1) / (F.coalesce("n", F.lit(0)) + 1)) + 1
+    more = (
+        found.select("row", "at", F.explode(F.arrays_zip("rest", "times")).alias("x"))
+        .select("row", "at", F.col("x.rest").alias("term"), F.col("x.times").alias("times"))
+        .join(counts, "term", "left")
+        .groupBy("row", "at").agg(F.sum(F.pow(F.col("times") * weight, F.lit(2))).alias("more"))
+    )
+    cosine = F.col("dot") / F.sqrt(F.col("square") + F.coalesce("more", F.lit(0.0)))
+    judged = found.drop("rest", "times").join(more, ["row", "at"], "left").withColumn("cosine", cosine)
+    own = F.when((F.col("at") >= 0) & (F.col("cosine") >= SIMILAR), F.struct("name", "cosine"))
+    file = F.when((F.col("at") < 0) & (F.col("cosine") >= SIMILAR_FILE), F.col("name"))
+    best = judged.groupBy("row").agg(
+        F.max_by(own, F.when(own.isNotNull(), F.struct(F.round("cosine", 9), -F.col("at")))).alias("own"),
+        F.max(file).alias("file"),
+    )
+    return part.drop("open").join(best, "row", "left").select(
+        *names, F.col("own.name").alias("own"), F.col("own.cosine").alias("cosine"),
+        F.when(F.col("own").isNotNull(), F.col("file")).alias("file"),
     )
 
 

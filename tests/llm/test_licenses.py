@@ -82,3 +82,26 @@ def test_inheritance_and_cases(spark):
 @pytest.mark.parametrize("name,text", L.TEMPLATES)
 def test_templates_find_themselves(name, text):
     assert L.Matcher(100, {}).scan(text) == (name, pytest.approx(1), name)
+
+
+@pytest.mark.parametrize("head", [L.HEAD, 3, 0])
+def test_every_term_has_its_document_frequency(spark, head):
+    line = "Released under the MIT License, see this file"
+    texts = [line if i % 3 else f"Copyright holder{i}\n{line} and word{i} of the GNU project" for i in range(600)]
+    rows = spark.createDataFrame(list(enumerate([*texts, "x", None])), "id long, text string")
+    every = [s for t in texts for s in re.split(L.SENTENCE, t) if re.search(L.SIGNS, s)]
+    terms = lambda s: Counter(re.findall("[a-z0-9]+", s.lower()))
+    df = Counter(x for s in every for x in terms(s))
+    vector = lambda s: {x: n * (math.log((len(every) + 1) / (df[x] + 1)) + 1) for x, n in terms(s).items()}
+
+    def cosine(a, b):
+        a, b = vector(a), vector(b)
+        return sum(a[x] * b.get(x, 0) for x in a) / math.hypot(*a.values()) / math.hypot(*b.values())
+
+    best = {s: max((round(cosine(s, t), 9), name) for name, t in L.TEMPLATES) for s in set(every)}
+    got = {r.id: r for r in L.own_licenses(rows, head=head).collect()}
+    assert len(got) == 600
+    for i, t in enumerate(texts):
+        c, name = max(best[s] for s in re.split(L.SENTENCE, t) if s in best)
+        assert (got[i].own, got[i].cosine) == ((name, pytest.approx(c)) if c >= L.SIMILAR else (None, None))
+    assert all(got[i].own == "MIT" for i in range(600) if i % 3)  # by template terms alone: none
