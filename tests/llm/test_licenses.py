@@ -105,3 +105,47 @@ def test_every_term_has_its_document_frequency(spark, head):
         c, name = max(best[s] for s in re.split(L.SENTENCE, t) if s in best)
         assert (got[i].own, got[i].cosine) == ((name, pytest.approx(c)) if c >= L.SIMILAR else (None, None))
     assert all(got[i].own == "MIT" for i in range(600) if i % 3)  # by template terms alone: none
+
+
+HOLDER = "MIT License\n\nCopyright (c) 2019 Jo Doe\n\n"
+
+
+def commented(text, mark):
+    return "\n".join(mark + text[i : i + 60] for i in range(0, len(text), 60)) + "\n\ncode = 1\n" * 50
+
+
+@pytest.mark.parametrize("name,text", L.full_texts())
+def test_full_texts_are_license_files(name, text):
+    body = text.partition("\n\n")[2] if name == "MIT" else text
+    own, cosine, file = L.Matcher(328, {}).scan(HOLDER + body if name == "MIT" else text)
+    assert (own, file) == (name, name) and cosine > 0.9
+
+
+def test_titles_part_licenses_with_like_texts():
+    by = dict(L.full_texts())
+    affero = by["GPL-3.0"].replace("GNU GENERAL", "GNU AFFERO GENERAL", 1)
+    plain = by["CC-BY-SA-4.0"].replace("Attribution-ShareAlike 4.0", "Attribution 4.0")
+    other = by["CC-BY-SA-4.0"].replace("Attribution-ShareAlike 4.0", "Attribution-NoDerivatives 4.0")
+    scan = L.Matcher(328, {}).scan
+    assert scan(affero)[2] == "AGPL-3.0" and scan(plain)[2] == "CC-BY-4.0" and scan(other)[2] is None
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("name,text", L.NOTICES)
+def test_wrapped_notices(name, text, mark):
+    body = "Copyright 2020 Jo Doe. All rights reserved.\n\n"
+    assert L.Matcher(328, {}).scan(body + commented(text, mark))[0] == name
+
+
+def test_spdx_tags_and_inheritance(spark):
+    by = dict(L.full_texts())
+    files = [
+        (1, "a/LICENSE", HOLDER + by["MIT"].partition("\n\n")[2]), (2, "a/b/x", "words"),
+        (3, "q/x.py", "# SPDX-License-Identifier: MIT\ncode\n" * 2),
+        (4, "q/y.c", "/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */"),
+        (5, "q/z", "// SPDX-License-Identifier: Zlib"), (6, "g/COPYING", by["GPL-3.0"]), (7, "g/s/t/u", ""),
+    ]
+    out = {r[0]: r[1:] for r in got(L.scan(spark.createDataFrame(files, "id long, path string, text string")))}
+    assert out[1] == ("MIT", "file", None) and out[2] == ("MIT", "inherited", "a")
+    assert out[3][0] == "MIT" and out[4][0] == "GPL-2.0" and out[5] == (None, "none", None)
+    assert out[6][:2] == ("GPL-3.0", "file") and out[7] == ("GPL-3.0", "inherited", "g")
