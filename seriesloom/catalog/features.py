@@ -561,9 +561,6 @@ def _(spark, sf):
     return round_library(df)
 
 
-SMALL_CFG = FeatureConfig(lags=(1, 5), means=(5,), stds=None, rolls=None, with_technical=False, with_dates=False, momentum=(5,))
-
-
 def ml_sql(label: str) -> str:
     """The library features with another label; complete rows, split by dates."""
     return f"""WITH {BARS}, f AS (SELECT ticker, d, {label} AS label, {', '.join(library_sql_columns()[:-1])} FROM bars),

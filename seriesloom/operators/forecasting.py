@@ -35,7 +35,7 @@ def additive_model(cfg: AdditiveConfig = AdditiveConfig()) -> Forecaster:
     return run
 
 
-def tree_model(length: int = 5, rounds: int = 10, depth: int = 3) -> Forecaster:
+def tree_model(length: int = 5, rounds: int = 50, depth: int = 5) -> Forecaster:
     """Boosted trees on the last values of a series, fed back step by step."""
     def run(df: DataFrame, steps: int, layout: Layout) -> DataFrame:
         flat = flat_sequences(sequences(df, ["close"], "close", length, layout), length)

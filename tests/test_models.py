@@ -307,3 +307,47 @@ def test_reflected_roots():
     np.testing.assert_allclose(arima.stable_lags(np.array([2.0]), 1.0), [0.5])
     np.testing.assert_allclose(arima.stable_lags(np.array([1.25]), -1.0), [0.8])
     assert len(arima.stable_lags(np.zeros(0), 1.0)) == 0
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("query,call,expected", [
+    ("gbt_fit_score", "gbt_fit", {"rounds": 50, "depth": 5, "features": True}),
+    ("feature_importance", "gbt_fit", {"rounds": 50, "depth": 5, "features": True}),
+    ("next_step", "gbt_fit", {"rounds": 50, "depth": 5}),
+    ("recursive_forecast", "recursive_forecast", {"steps": 30}),
+    ("training_summary", "arima_grid", {"max_p": 5, "max_d": 2, "max_q": 5}),
+    ("forecast_all", "forecast_all", {"steps": 30}),
+])
+def test_registered_queries_do_the_whole_job(spark, monkeypatch, query, call, expected):
+    import inspect
+
+    from seriesloom.catalog import QUERIES
+    from seriesloom.operators.features import FeatureConfig, feature_names
+
+    module = {"arima_grid": arima, "forecast_all": forecasting}.get(call, trees)
+    signature, seen = inspect.signature(getattr(module, call)), {}
+
+    def record(*args, **kw):
+        bound = signature.bind(*args, **kw)
+        bound.apply_defaults()
+        seen.update(bound.arguments)
+        raise Stop
+
+    if call == "recursive_forecast":
+        monkeypatch.setattr(trees, "gbt_fit", lambda *a, **k: None)
+    monkeypatch.setattr(module, call, record)
+    with pytest.raises(Stop):
+        QUERIES[query](spark, "/root/testdata/sf0.001")
+    if expected.pop("features", False):
+        assert list(seen["cols"]) == feature_names(FeatureConfig.library())
+    assert {k: seen[k] for k in expected} == expected
+
+
+def test_tree_model_boosts_with_the_default_rounds():
+    import inspect
+
+    own, whole = (inspect.signature(f).parameters for f in (forecasting.tree_model, trees.gbt_fit))
+    assert (own["rounds"].default, own["depth"].default) == (whole["rounds"].default, whole["depth"].default)
