@@ -106,26 +106,42 @@ def draw(count: int, seed: bytes = b"draw") -> list[str]:
     ]
 
 
+def least_words(words: set[str]) -> list[str]:
+    """The FIT_WORDS words of least hash, in its order."""
+    return sorted(words, key=lambda w: hashlib.md5(w.encode()).digest())[:FIT_WORDS]
+
+
+def sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, secret: values of the fixed patterns, and the least of the other words."""
+    ordinary: set[str] = set()
+    for batch in pieces(batches, "text"):
+        found = []
+        for text in batch.column("text").to_pylist():
+            taken = base_spans(text)
+            found += [text[a:b].rsplit('"', 1)[-1].rsplit(" ", 1)[-1] for a, _, b in taken]
+            clear = re.sub(r"\S*[0-9]\S*", " ", text) if taken else text
+            ordinary.update(re.findall(r"[A-Za-z0-9_+/=-]{5,}", clear))
+            if len(ordinary) > 4 * FIT_WORDS:
+                ordinary = set(least_words(ordinary))
+        yield pa.RecordBatch.from_pydict({"word": pa.array(found, pa.string()), "secret": pa.array([True] * len(found), pa.bool_())})
+    words = least_words(ordinary)
+    yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "secret": pa.array([False] * len(words), pa.bool_())})
+
+
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Train on at most `rows` documents, those of smallest row hash.
 
-    A text enters with its first 100,000 characters at most; that bounds the sample in the
-    driver. Without any words the drawn strings alone shape the model, against letters only.
+    Their texts enter whole; the tasks keep the `FIT_WORDS` words of least hash, so the words do
+    not depend on how the rows lie. Without any words the drawn strings alone shape the model, against letters only.
     """
     full = docs.where(F.length("text") > 0).withColumn("__h", F.xxhash64(*docs.columns))
     # First the hashes alone find the sample, so that only its texts travel.
     last = full.select("__h").orderBy("__h").limit(rows).agg(F.max("__h")).first()[0]
-    picked = full.where(F.col("__h") <= F.lit(last)).select(
-        F.substring("text", 1, 100_000).alias("t")
-    ).limit(rows) if last is not None else full.select(F.col("text").alias("t")).limit(0)
+    picked = full.where(F.col("__h") <= F.lit(last)).select("text").limit(rows) if last is not None else full.select("text").limit(0)
     found, ordinary = [], set()
-    for row in picked.toLocalIterator():
-        taken = base_spans(row.t)
-        found += [row.t[a:b].rsplit('"', 1)[-1].rsplit(" ", 1)[-1] for a, _, b in taken]
-        clear = re.sub(r"\S*[0-9]\S*", " ", row.t) if taken else row.t
-        if len(ordinary) < FIT_WORDS:
-            ordinary.update(re.findall(r"[A-Za-z0-9_+/=-]{5,}", clear))
-    words = sorted(ordinary, key=lambda w: hashlib.md5(w.encode()).digest())[:FIT_WORDS]
+    for row in picked.mapInArrow(sample_words, "word string, secret boolean").toLocalIterator():
+        found.append(row.word) if row.secret else ordinary.add(row.word)
+    found, words = sorted(found), least_words(ordinary)
     words = words or list(string.ascii_lowercase)
     # Identifiers of code and paths, made of the words themselves.
     joined = [sep.join(words[i : i + 3]) for i in range(0, len(words) - 3, 3) for sep in "_/-"]

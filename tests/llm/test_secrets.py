@@ -3,6 +3,7 @@ import random
 import re
 import string
 
+import pyarrow as pa
 import pytest
 
 from seriesloom.llm import secrets as S
@@ -81,3 +82,22 @@ def test_redact():
 def test_empty_corpus_has_a_model(spark):
     m = S.fit(spark.createDataFrame([], "doc_id long, text string"))
     assert m.cut > 0
+
+
+def test_words_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "FIT_WORDS", 50)
+    kept = []
+    monkeypatch.setattr(S, "least_words", lambda w, f=S.least_words: kept.append(f(w)) or kept[-1], raising=False)
+    late = "late" + "x" * 9
+    texts = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}zz " * 3 for i in range(200)] + ["y" * 3 + " " * 100_000 + late]
+    rows = list(enumerate(texts))
+    cuts = []
+    for own in (rows, rows[::-1]):
+        df = spark.createDataFrame(own, "doc_id long, text string").coalesce(1)
+        cuts.append(S.fit(df).cut)
+    every = {w for t in texts for w in re.findall(r"[A-Za-z0-9_+/=-]{5,}", t)}
+    least = sorted(every, key=lambda w: hashlib.md5(w.encode()).digest())[:50]
+    assert late in every and cuts[0] == cuts[1]
+    assert kept[-1] == kept[0]
+    got = [w for b in S.sample_words(iter([pa.record_batch({"text": texts})])) for w in b.column("word").to_pylist()]
+    assert got == least
