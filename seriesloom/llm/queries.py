@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesloom.llm import classlm, decontam, jaccard, licenses, packing, periodic, quality, ranked, secrets, sharding, substrings, warc  # noqa: F401  (imports register the queries)
+from seriesloom.llm import classlm, decontam, jaccard, licenses, packing, periodic, quality, ranked, secrets, sharding, substrings, vectors, warc  # noqa: F401  (imports register the queries)
 from seriesloom.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
