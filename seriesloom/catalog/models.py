@@ -32,6 +32,7 @@ from seriesloom.operators import (
 )
 from seriesloom.operators.features import feature_names
 from seriesloom.plans.layout import POS, Layout, with_positions
+from seriesloom.session import cut_lineage
 
 SOLVED = ["ticker", "p", "d", "q", "const", "ar", "ma", "exog", "sigma2", "n_obs", "aic", "bic", "status"]
 SMALL_EVENTS = additive.events_of(EVENTS[:3])
@@ -94,40 +95,49 @@ def _ml(spark, sf, cfg=ML_CFG):
     return datasets.ml_dataset(closes(spark, sf), *TRAIN, TEST_START, cfg=cfg, layout=CUT)
 
 
+def _labelled(spark, sf):
+    """The labelled feature table, stored once: a fit and its scores read it several times."""
+    return cut_lineage(_ml(spark, sf))
+
+
 @register("gbt_fit_score")
 def _(spark, sf):
-    """Boosted trees on the training years, scored on the test years."""
-    data, cols = _ml(spark, sf), feature_names(ML_CFG)
+    """Boosted trees of each series on the training years, scored on the test years."""
+    data, cols = _labelled(spark, sf), feature_names(ML_CFG)
     model = trees.gbt_fit(data.where(F.col("split") == "train"), cols)
     scored = trees.gbt_score(model, data.where(F.col("split") == "test"), cols)
     return scored.select("ticker", "d", F.col("label").alias("y"), "yhat")
 
 
 def _importances(spark, sf):
-    data, cols = _ml(spark, sf), feature_names(ML_CFG)
+    data, cols = _labelled(spark, sf), feature_names(ML_CFG)
     model = trees.gbt_fit(data.where(F.col("split") == "train"), cols)
     return trees.feature_importance(model, cols, 10)
 
 
 @register("feature_importance")
 def _(spark, sf):
+    """The ten strongest features of each series."""
     return _importances(spark, sf)
 
 
 @register("training_summary")
 def _(spark, sf):
-    """Scores of the autoregressive grid winner and the strongest tree features."""
+    """Scores of each series' autoregressive grid winner and its strongest tree features."""
     best = arima.arima_grid(training(spark, sf), 5, 2, 5, layout=CUT).where("best")
     runs = best.select(
         F.concat(F.lit("arima_"), F.lower("ticker")).alias("model"), "aic", "bic"
     ).unionByName(
-        spark.range(1).select(
-            F.lit("trees").alias("model"),
+        best.select(
+            F.concat(F.lit("trees_"), F.lower("ticker")).alias("model"),
             F.lit(None).cast("double").alias("aic"),
             F.lit(None).cast("double").alias("bic"),
         )
     )
-    return ledger.training_summary(runs, _importances(spark, sf).withColumn("model", F.lit("trees")))
+    strongest = _importances(spark, sf).select(
+        F.concat(F.lit("trees_"), F.lower("ticker")).alias("model"), "feature", "importance"
+    )
+    return ledger.training_summary(runs, strongest)
 
 
 LENGTH = 5

@@ -9,16 +9,14 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators.boosting import Boosted, boost_fit
 from seriesloom.operators.filters import cast_features
 from seriesloom.plans.layout import Layout
-from seriesloom.session import cut_lineage, ensure_checkpoint_dir
-
-SEED = 123
+from seriesloom.session import cut_lineage
 
 
 def gbt_fit(
@@ -26,45 +24,26 @@ def gbt_fit(
     cols: Sequence[str],
     target: str = "label",
     *,
+    key: str = "ticker",
     rounds: int = 50,
     depth: int = 5,
-    seed: int = SEED,
     **kw,
-) -> PipelineModel:
-    """Boosted regression trees on all series together, squared error."""
-    ensure_checkpoint_dir(df.sparkSession)
-    stages = [
-        VectorAssembler(inputCols=list(cols), outputCol="features"),
-        GBTRegressor(
-            featuresCol="features",
-            labelCol=target,
-            predictionCol="yhat",
-            maxIter=rounds,
-            maxDepth=depth,
-            seed=seed,
-            lossType="squared",
-            **kw,
-        ),
-    ]
-    ready = cast_features(df.select(*cols, target), [*cols, target])
-    return Pipeline(stages=stages).fit(ready)
+) -> Boosted:
+    """Boosted regression trees of each series, squared error; see ``boosting``."""
+    return boost_fit(df, cols, target, key=key, rounds=rounds, depth=depth, **kw)
 
 
-def gbt_score(model: PipelineModel, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def gbt_score(model: Boosted, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Add ``yhat`` to a feature table."""
-    return model.transform(cast_features(df, cols)).drop("features")
+    return model.transform(cast_features(df, cols))
 
 
 def feature_importance(
-    model: PipelineModel, cols: Sequence[str], top: int | None = None
+    model: Boosted, cols: Sequence[str], top: int | None = None
 ) -> DataFrame:
-    """``feature, importance`` sorted descending; as many rows as features."""
-    trees = model.stages[-1]
-    pairs = [(c, float(v)) for c, v in zip(cols, trees.featureImportances.toArray())]
-    out = SparkSession.active().createDataFrame(pairs, "feature string, importance double").orderBy(
-        F.col("importance").desc(), "feature"
-    )
-    return out if top is None else out.limit(top)
+    """``feature, importance`` of each series, sorted descending; all ``cols`` or the top ones."""
+    found = model.importances(top)
+    return found.where(F.col("feature").isin(list(cols)))
 
 
 def rf_cv(
@@ -146,7 +125,7 @@ def last_windows(df: DataFrame, length: int, value: str, layout: Layout = Layout
 
 
 def recursive_forecast(
-    model: Model,
+    model: Boosted | Model,
     state: DataFrame,
     length: int,
     steps: int = 30,
@@ -156,10 +135,13 @@ def recursive_forecast(
 ) -> DataFrame:
     """Feed each prediction back as the newest value, all series stepping together.
 
-    ``state`` has ``x1..xL`` per series. The plan grows by one scoring per step, so
-    it is cut at intervals by a reliable checkpoint.
+    ``state`` has ``x1..xL`` per series. Boosted trees of a series roll forward in one task.
+    With another model the plan grows by one scoring per step, so it is cut at intervals by
+    a reliable checkpoint.
     """
     names = [f"x{i + 1}" for i in range(length)]
+    if isinstance(model, Boosted):
+        return model.roll(state, names, steps)
     rest = [c for c in state.columns if c not in names]
     now = state.withColumn("__path", F.array().cast("array<double>"))
     for step in range(1, steps + 1):
@@ -177,7 +159,7 @@ def recursive_forecast(
     )
 
 
-def next_step(model: Model, state: DataFrame, length: int) -> DataFrame:
+def next_step(model: Boosted | Model, state: DataFrame, length: int) -> DataFrame:
     return recursive_forecast(model, state, length, steps=1)
 
 
