@@ -84,18 +84,21 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
         encode = encoder(path)
         try:
             for batch in pieces(batches, "text"):
-                rows = []
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(texts)):
-                    ids = np.append(ids, np.uint16(end_id)).astype("<u4")
-                    first = (len(ids) - 1) % capacity + 1
-                    cuts = [0, *range(first, len(ids) + 1, capacity)]
-                    rows += [
-                        (doc_id, k, a, b - a, zlib.crc32(ids[a:b]))
-                        for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
-                    ]
+                row, piece, start, length, crc = [], [], [], [], []
+                for k, ids in enumerate(encode.ids(texts)):
+                    n = len(ids) + 1
+                    raw = memoryview(np.append(ids, ids.dtype.type(end_id)).astype("<u4")).cast("B")
+                    first = (n - 1) % capacity + 1
+                    starts = [0, *range(first, n, capacity)]
+                    row += [k] * len(starts)
+                    piece += range(len(starts))
+                    start += starts
+                    length += [first] + [capacity] * (len(starts) - 1)
+                    crc += [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts, [*starts[1:], n])]
+                columns = [batch.column("doc_id").take(pa.array(row)), piece, start, length, crc]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema
+                    [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
                 )
         finally:
             encode.forget()

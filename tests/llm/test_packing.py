@@ -12,7 +12,7 @@ from seriesloom.llm.tokens import Encoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     "", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb c", "don't stop they're", "x  y", "x  y",
-    "<|endoftext|> is plain", "tab\there  there", "é ñ 漢字 ok", "one two one two", "a\x1c b", "\n\nz z",
+    "<|endoftext|> is special", "a <|endoftext|>", "a b<|endoftext|>c d", "<|endoftext|", "tab\there  there", "é ñ 漢字 ok", "one two one two", "a\x1c b", "\n\nz z",
     "1234 5 67!!! (x) [y]", "end\n", "word " * 3000 + "x",
 ]
 
@@ -20,7 +20,6 @@ TEXTS = [
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda s: t.encode(s, add_special_tokens=False).ids
 
 
