@@ -436,22 +436,23 @@ def link(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.join(classed, "same").select("row", "class_row", "n_links", "n_copies")
 
 
-def numbered(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """`docs` with a column row: the key itself where it is unique and never null.
+def numbered(docs: DataFrame, key: str = "doc_id", row: str = "row") -> DataFrame:
+    """`docs` with a column `row`: the key itself where it is unique and never null.
 
     Otherwise rows are numbered in a written copy, so that every later reading agrees.
     """
     odd = docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())
     if odd.isEmpty():
-        return docs.withColumn("row", F.col(key))
-    return cut_lineage(docs.withColumn("row", F.monotonically_increasing_id()))
+        return docs.withColumn(row, F.col(key))
+    return cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each class, that of the least number, with all columns of `docs`."""
-    rows = numbered(docs)
-    first = link(rows).where("row = class_row").select("row")
-    return rows.join(first, "row", "left_semi").select(docs.columns)
+    rows = numbered(docs, row="__row")
+    first = link(rows.select(F.col("__row").alias("row"), "text"))
+    first = first.where("row = class_row").select(F.col("row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(docs.columns)
 
 
 @register("op6_jaccard")

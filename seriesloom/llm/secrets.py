@@ -2,10 +2,15 @@
 
 Two character models (order 2 over 66 symbols) are trained from labelled samples: random
 strings, which are the values that the fixed patterns found in a bounded sample of documents
-and seeded draws from the usual alphabets, and ordinary identifiers, which are the sample's
-remaining words. A run of at least `MIN_RUN` key characters is a secret if its mean log-
-likelihood ratio passes a threshold that no held-out identifier reaches. Sampling concerns
-the models only: every whole text is scanned.
+and seeded draws from the usual alphabets, and ordinary identifiers. Those are the sample's
+other words that are built of letters, with few digits behind them, and names made of them;
+what a first pair of models finds as random as the drawn strings is dropped before the second
+is trained, so keys that stand unlabelled in the sample do not count as ordinary. The cut lies
+halfway between the 0.999 quantile of held-out identifiers and the 0.02 quantile of held-out
+draws. A run of at least `MIN_RUN` key characters outside the fixed spans is a secret if its
+mean log-likelihood ratio reaches the cut, or else the part of it between its first and last
+piece (cut at "/", "=" and "-") that do. Sampling concerns the models only: every whole text
+is scanned.
 """
 
 from __future__ import annotations
@@ -32,6 +37,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
+PIECE = re.compile(r"[^/=-]+")
+#: Letters with few digits behind them, several joined by single signs.
+ORDINARY = re.compile(r"[A-Za-z]{3,20}[0-9]{0,4}(?:[_/-]+[A-Za-z]{2,20}[0-9]{0,4})*")
+#: Quantiles of held-out identifiers and draws between which the cut lies, and the one of the
+#: draws above which a sampled word is taken for a key.
+HIGH_ORDINARY, LOW_RANDOM, KEY_LIKE = 0.999, 0.02, 0.05
 #: Documents that give the models their labelled strings, at most.
 FIT_ROWS = 2_000
 #: Identifiers kept from them, at most, and drawn random strings.
@@ -100,32 +111,42 @@ class Model:
 def draw(count: int, seed: bytes = b"draw") -> list[str]:
     """Seeded random strings over the usual alphabets, 20 to 60 characters."""
     rng = np.random.default_rng(int.from_bytes(hashlib.sha256(seed).digest()[:8], "big"))
-    return [
-        "".join(rng.choice(list(_ALPHABETS[k % len(_ALPHABETS)]), rng.integers(20, 61)))
-        for k in range(count)
-    ]
+    kinds = len(_ALPHABETS) + 1
+    out = []
+    for k in range(count):
+        if k % kinds == kinds - 1:  # the usual form of universal identifiers
+            x = "".join(rng.choice(list("0123456789abcdef"), 32))
+            out.append("-".join((x[:8], x[8:12], x[12:16], x[16:20], x[20:])))
+        else:
+            out.append("".join(rng.choice(list(_ALPHABETS[k % kinds]), rng.integers(20, 61))))
+    return out
+
+
+def by_hash(words: set[str]) -> list[str]:
+    return sorted(words, key=lambda w: hashlib.md5(w.encode()).digest())
 
 
 def least_words(words: set[str]) -> list[str]:
     """The FIT_WORDS words of least hash, in its order."""
-    return sorted(words, key=lambda w: hashlib.md5(w.encode()).digest())[:FIT_WORDS]
+    return by_hash(words)[:FIT_WORDS]
 
 
 def sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """word, secret: values of the fixed patterns, and the least of the other words."""
+    found: set[str] = set()
     ordinary: set[str] = set()
     for batch in pieces(batches, "text"):
-        found = []
         for text in batch.column("text").to_pylist():
             taken = base_spans(text)
-            found += [text[a:b].rsplit('"', 1)[-1].rsplit(" ", 1)[-1] for a, _, b in taken]
+            found.update(text[a:b].rsplit('"', 1)[-1].rsplit(" ", 1)[-1] for a, _, b in taken)
             clear = re.sub(r"\S*[0-9]\S*", " ", text) if taken else text
             ordinary.update(re.findall(r"[A-Za-z0-9_+/=-]{5,}", clear))
             if len(ordinary) > 4 * FIT_WORDS:
                 ordinary = set(least_words(ordinary))
-        yield pa.RecordBatch.from_pydict({"word": pa.array(found, pa.string()), "secret": pa.array([True] * len(found), pa.bool_())})
-    words = least_words(ordinary)
-    yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "secret": pa.array([False] * len(words), pa.bool_())})
+            if len(found) > 4 * FIT_WORDS:
+                found = set(least_words(found))
+    for words, secret in ((least_words(found), True), (least_words(ordinary), False)):
+        yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "secret": pa.array([secret] * len(words), pa.bool_())})
 
 
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -138,36 +159,63 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     # First the hashes alone find the sample, so that only its texts travel.
     last = full.select("__h").orderBy("__h").limit(rows).agg(F.max("__h")).first()[0]
     picked = full.where(F.col("__h") <= F.lit(last)).select("text").limit(rows) if last is not None else full.select("text").limit(0)
-    found, ordinary = [], set()
+    found, ordinary = set(), set()
     for row in picked.mapInArrow(sample_words, "word string, secret boolean").toLocalIterator():
-        found.append(row.word) if row.secret else ordinary.add(row.word)
-    found, words = sorted(found), least_words(ordinary)
+        (found if row.secret else ordinary).add(row.word)
+    found, words = by_hash(found)[:FIT_WORDS], least_words(ordinary)
+    random, unseen = [*found, *draw(FIT_DRAWS)], draw(FIT_DRAWS // 4, b"held out")
+    words = [w for w in words if ORDINARY.fullmatch(w)]
+    if words:  # keys that look like words go
+        first = Model(random, words)
+        keys = first.scores(words) >= np.quantile(first.scores(unseen), KEY_LIKE)
+        words = [w for w, key in zip(words, keys) if not key]
     words = words or list(string.ascii_lowercase)
     # Identifiers of code and paths, made of the words themselves.
     joined = [sep.join(words[i : i + 3]) for i in range(0, len(words) - 3, 3) for sep in "_/-"]
     camel = ["".join(w.capitalize() for w in words[i : i + 3]) for i in range(0, len(words) - 3, 3)]
     ordinary_all = words + joined + camel
     held, kept = ordinary_all[::4], [w for i, w in enumerate(ordinary_all) if i % 4]
-    model = Model([*found, *draw(FIT_DRAWS)], kept)
+    model = Model(random, kept)
     long = [w for w in held if len(w) >= MIN_RUN]
-    worst = model.scores(long).max() if long else 0.0
-    model.cut = float(max(0.0, worst) + 0.05)
+    high = float(np.quantile(model.scores(long), HIGH_ORDINARY)) if long else 0.0
+    low = float(np.quantile(model.scores(unseen), LOW_RANDOM))
+    model.cut = max(high, (high + low) / 2, 0.05)
     return model
 
 
 def spans(text: str, model: Model) -> list[tuple[int, int, int]]:
-    """Fixed spans and, where no fixed one overlaps, runs that the models call random."""
+    """Fixed spans, and what the models call random in the runs outside them."""
     base = base_spans(text)
     runs = [(m.start(), m.end()) for m in RUN.finditer(text)]
-    if runs:
-        good = model.scores([text[a:b] for a, b in runs]) >= model.cut
-        base_at = [(a, b) for a, _, b in base]
-        base = base + [
-            (a, 3, b)
-            for (a, b), yes in zip(runs, good)
-            if yes and not any(a < y and x < b for x, y in base_at)
-        ]
-    return sorted(base)
+    if not runs:
+        return base
+    if base:
+        runs = [r for a, b in runs for r in _outside(a, b, base)]
+    good = model.scores([text[a:b] for a, b in runs]) >= model.cut
+    found = [r for r, yes in zip(runs, good) if yes]
+    cut = [[(m.start(), m.end()) for m in PIECE.finditer(text, a, b)] for (a, b), yes in zip(runs, good) if not yes]
+    cut = [own for own in cut if own and (len(own) > 1 or own[0][1] - own[0][0] >= MIN_RUN)]
+    if cut:  # the run less the ordinary pieces at its ends
+        each = iter((model.scores([text[a:b] for own in cut for a, b in own]) >= model.cut).tolist())
+        cores = []
+        for own in cut:
+            random = [p for p in own if next(each)]
+            if random and random[-1][1] - random[0][0] >= MIN_RUN:
+                cores.append((random[0][0], random[-1][1]))
+        good = model.scores([text[a:b] for a, b in cores]) >= model.cut
+        found += [c for c, yes in zip(cores, good) if yes]
+    return sorted(base + [(a, 3, b) for a, b in found])
+
+
+def _outside(a: int, b: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a run that no fixed span covers, of at least MIN_RUN characters."""
+    out = []
+    for x, _, y in base:
+        if y > a and x < b:
+            if x - a >= MIN_RUN:
+                out.append((a, x))
+            a = max(a, y)
+    return out + [(a, b)] if b - a >= MIN_RUN else out
 
 
 def show(found: list[tuple[int, int, int]]) -> str:

@@ -114,3 +114,9 @@ def test_components(spark):
         parent[q] = p
     want = {x: find(x) for a, b in edges for x in (a, b) if a != b}
     assert {r.node: r.root for r in J.components(df).collect()} == want
+
+
+def test_keep_first_leaves_own_columns_alone(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    df = spark.createDataFrame([(1, text, 1000, "a"), (2, text, 2000, "b"), (3, "other text", 3000, "c")], "doc_id long, text string, row int, id string")
+    assert sorted(map(tuple, J.keep_first(df).collect())) == [(1, text, 1000, "a"), (3, "other text", 3000, "c")]

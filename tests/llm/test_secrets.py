@@ -101,3 +101,34 @@ def test_words_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
     assert kept[-1] == kept[0]
     got = [w for b in S.sample_words(iter([pa.record_batch({"text": texts})])) for w in b.column("word").to_pylist()]
     assert got == least
+
+
+@pytest.mark.parametrize("planted", [0, 100, 1000])
+def test_recall_with_unlabelled_keys_in_the_sample(spark, planted):
+    """Keys, identifiers of universal form, and keys behind a path, not named as such."""
+    rng = random.Random(planted)
+    alphabet = string.ascii_letters + string.digits
+
+    def key(n=32):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    def uuid():
+        x = "".join(rng.choice("0123456789abcdef") for _ in range(32))
+        return "-".join((x[:8], x[8:12], x[12:16], x[16:20], x[20:]))
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    texts = [(r.doc_id, (r.text or "") + (f" {key()} {uuid()}" if k < planted else "")) for k, r in enumerate(docs)]
+    m = S.fit(spark.createDataFrame(texts, "doc_id long, text string"))
+    for make in (key, uuid):
+        found = [any(k == 3 for _, k, _ in S.spans(f"see {make()} there", m)) for _ in range(300)]
+        assert sum(found) >= 0.9 * len(found), (make, sum(found))
+    found = [any(k == 3 and a <= 25 and b == 57 for a, k, b in S.spans(f"usr/local/share/settings/{key()} x", m)) for _ in range(300)]
+    assert sum(found) >= 0.9 * len(found), sum(found)
+    names = ["_".join(rng.choice(WORDS) for _ in range(4)) for _ in range(300)]
+    assert sum(bool(S.spans(w, m)) for w in names) <= 3
+    assert sum(k == 3 for r in docs for _, k, _ in S.spans(r.text or "", m)) <= len(docs) // 50
+
+
+def test_runs_beside_fixed_spans(model):
+    text = "qZ7xV2kLp9TwR4mN8bYc1HsD/token=abcdefgh1"
+    assert S.spans(text, model) == [(0, 3, 25), (25, 0, 40)] or S.spans(text, model) == [(0, 3, 24), (25, 0, 40)]
