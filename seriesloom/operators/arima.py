@@ -1,10 +1,11 @@
 """Autoregressive moving-average models with differencing, seasonal lags and regressors.
 
-Estimation is the two-stage regression of Hannan and Rissanen: a long
+The first estimate is the two-stage regression of Hannan and Rissanen: a long
 autoregression gives residuals, then the series is regressed on its own lags and
 lagged residuals. Both stages are one pass of Gram sums, so a series of any
 length is fitted by all tasks together, and every order of a grid is a sub-matrix
-of the same sums.
+of the same sums. Models with moving averages or seasonal factors are then refined
+to conditional least squares, with seasonal factors that multiply (see ``refine``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators.autocorr import Z95
 from seriesloom.operators.calendars import future_calendar
+from seriesloom.operators.refine import TASK_ROWS, Shape, refine
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
 from seriesloom.plans.layout import POS, Laid, Layout, bucket_rows, with_positions
@@ -122,6 +124,7 @@ class Stage:
     stats: DataFrame
     coefs: DataFrame
     spec: Spec
+    design: DataFrame
 
 
 def _residual_stage(
@@ -172,7 +175,9 @@ def _residual_stage(
         {f"__e{j}": F.lag("__e", j).over(again.w) for j in range(1, keep + 1)}
     )
     rows = again.where(F.col(POS) >= first_pos).close().withColumn("__1", F.lit(1.0))
-    return Stage(rows, stats, coefs, spec)
+    lagged = [f"__z{i}" for i in spec.ar]
+    positioned = laid.close(keep_pos=True).select(key, POS, *exog, *lagged, z)
+    return Stage(rows, stats, coefs, spec, positioned)
 
 
 def _tail_rows(df: DataFrame, spec: Spec, value: str, layout: Layout) -> DataFrame:
@@ -267,14 +272,16 @@ def arima_fit(
     *,
     seasonal: Seasonal = NO_SEASON,
     exog: Sequence[str] = (),
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """One fitted model per series, with the state a forecast continues from.
 
     The fit is computed here and its (small) table stored.
     Coefficients are in the standardised scale of the series (``centre``,
-    ``scale``); ``sigma2`` is in the series' own units. Without seasonal lags, roots that
-    would make the model non-stationary or non-invertible are reflected and ``status``
-    is ``adjusted``; with them, such a model has status ``unstable``.
+    ``scale``); ``sigma2`` is in the series' own units. Roots of an autoregression that
+    would make the model non-stationary are reflected and ``status`` is ``adjusted``.
+    With moving averages or a season the estimate is the conditional least squares one
+    among stable models. Series longer than ``task_rows`` are refined block by block.
     """
     spec = Spec(tuple(order), tuple(seasonal), tuple(exog))
     key = layout.key
@@ -343,7 +350,44 @@ def arima_fit(
         .join(stage.coefs, key, "left")
         .join(_tail_rows(df, spec, value, layout), key, "left")
     )
-    return cut_lineage(per_series(joined, solve, FIT_SCHEMA.format(key=key)))
+    fits = cut_lineage(per_series(joined, solve, FIT_SCHEMA.format(key=key)))
+    if not spec.ma and not spec.seasonal[0]:
+        return fits
+    shape = Shape(spec.constant, ne, tuple(spec.ar), tuple(spec.ma), spec.order, spec.seasonal)
+    beta = fits.where(F.col("status") != "failed").select(
+        F.col(key).alias(key), F.concat(F.array("const"), "exog", "ar", "ma").alias("beta")
+    )
+    better = refine(stage.design, beta, cols[1 : 1 + ne + na] + cols[-1:], shape, key, layout.rows, task_rows)
+    better = better.select(F.col(key).alias("__k"), *(F.col(c).alias(f"__{c}") for c in ("free", "params", "ssr", "n", "g", "e")))
+    both = fits.join(better, F.col(key) == F.col("__k"), "left").drop("__k")
+    return cut_lineage(per_series(both, _refined(shape, ne, na), FIT_SCHEMA.format(key=key)))
+
+
+def _refined(shape: Shape, ne: int, na: int):
+    """A first estimate with what the refinement has found put in its place."""
+    def run(row: dict) -> list[dict]:
+        free = row.pop("__free")
+        params, ssr, n, g, e = (row.pop(f"__{c}") for c in ("params", "ssr", "n", "g", "e"))
+        if free is None:
+            return [row]
+        free, params, n = np.asarray(free, dtype=float), np.asarray(params, dtype=float), int(n)
+        parts = np.split(free, [1, 1 + ne, 1 + ne + na])
+        full = np.asarray(g, dtype=float).reshape(len(free) + 1, -1)
+        d, k = shape.chain(params), len(params)
+        cov = np.linalg.pinv(d.T @ full[:-1, :-1] @ d, hermitian=True) * ssr / max(n - k, 1)
+        se = np.sqrt(np.maximum(np.diag(d @ cov @ d.T), 0.0))
+        loglik = -0.5 * n * (math.log(2 * math.pi * max(ssr / n, 1e-300)) + 1) - n * math.log(row["scale"])
+        tail = np.asarray(row["tail_e"], dtype=float).copy()
+        if shape.history:
+            e = np.asarray(e, dtype=float)[-len(tail):]
+            tail[len(tail) - len(e):] = e
+        return [row | {
+            "const": float(parts[0][0]), "exog": parts[1].tolist(), "ar": parts[2].tolist(), "ma": parts[3].tolist(),
+            "se": se.tolist(), "sigma2": ssr / n * row["scale"] ** 2, "n_obs": n, "tail_e": tail.tolist(),
+            "aic": 2 * (k + 1) - 2 * loglik, "bic": math.log(n) * (k + 1) - 2 * loglik, "status": "success",
+        }]
+
+    return run
 
 
 def arima_grid(
