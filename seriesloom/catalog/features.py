@@ -525,7 +525,7 @@ SELECT * FROM ({' UNION ALL '.join(f"SELECT ticker, '{c}' AS feature, {rnd(f"cor
 WHERE future_corr IS NOT NULL AND NOT isnan(future_corr)""",
 )
 def _(spark, sf):
-    df = features.build_features(closes(spark, sf), LIB_CFG, layout=CUT, keep_pos=True)
+    df = features.build_features(closes(spark, sf), LIB_CFG, layout=CUT, ahead=1)
     return rounded(quality.leakage_corr(df, LEAK_COLS, layout=CUT, per_series=True), 6)
 
 

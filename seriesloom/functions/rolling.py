@@ -124,7 +124,7 @@ def rolling_stats(
     out: dict[str, Column] = {}
     for n in as_windows(ws, 2):
         f = before(w, n)
-        ordered = F.array_sort(F.collect_list(x).over(f))
+        ordered = F.sort_array(F.collect_list(x).over(f))
         for s in stats:
             if s == "min":
                 value = F.min(x).over(f)

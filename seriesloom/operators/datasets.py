@@ -11,7 +11,6 @@ from seriesloom.operators.features import (
     FeatureConfig,
     build_features,
     feature_names,
-    forward_target,
 )
 from seriesloom.operators.filters import between_ts, complete_cases, split_dates
 from seriesloom.operators.joins import Event, event_flags
@@ -52,10 +51,8 @@ def ml_dataset(
     """
     if target.startswith("h") and target[1:].isdigit():
         h = int(target[1:])
-        ahead = forward_target(df.select(layout.key, layout.ts, value), h, value, layout)
-        ahead = ahead.select(layout.key, layout.ts, F.col(f"target_{h}").alias("label"))
-        feats = build_features(df, cfg, value, layout, target_diff=False)
-        rows = feats.join(ahead, [layout.key, layout.ts], "inner")
+        feats = build_features(df, cfg, value, layout, target_diff=False, ahead=h)
+        rows = feats.withColumn("label", F.col(f"target_{h}"))
     elif target in ("level", "diff"):
         feats = build_features(df, cfg, value, layout, target_diff=target == "diff")
         source = "target" if target == "level" else "target_diff"

@@ -144,14 +144,16 @@ def build_features(
     target_diff: bool = True,
     trim: bool | None = None,
     keep_pos: bool = False,
+    ahead: int = 0,
 ) -> DataFrame:
     """``ticker, d, target``, all feature columns and ``target_diff``.
 
     All frames share one partitioning and order, so they run in one Window pass
-    after one shuffle. The notebook profile drops its warm-up rows.
+    after one shuffle. The notebook profile drops its warm-up rows. ``ahead`` adds
+    ``target_<ahead>``, the value so many rows later, in the same pass.
     """
     x = df.select(layout.key, layout.ts, F.col(value).cast("double").alias("target"))
-    laid = lay_out(x, layout, back=cfg.back())
+    laid = lay_out(x, layout, back=cfg.back(), ahead=ahead)
     if cfg.with_technical and cfg.full_windows:
         # First, as exponential means read their input twice to carry values over gaps.
         laid = technical.macd(laid, "target")
@@ -159,6 +161,8 @@ def build_features(
     cols = _frame_columns(laid, "target", cfg)
     if target_diff:
         cols["target_diff"] = F.col("target") - F.lag("target", 1).over(laid.w)
+    if ahead:
+        cols[f"target_{ahead}"] = F.lead("target", ahead).over(laid.w)
     laid = laid.with_columns(cols)
     trim = cfg.full_windows if trim is None else trim
     out = laid.close(keep_pos=trim or keep_pos)
@@ -173,6 +177,7 @@ def build_features(
         else:
             out = warmup_trim(out, reach, framed, layout)
     tail = ["target_diff"] if target_diff else []
+    tail += [f"target_{ahead}"] if ahead else []
     pos = ["__pos"] if keep_pos and not trim else []
     return out.select(layout.key, layout.ts, "target", *names, *tail, *pos)
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,29 +52,95 @@ def leakage_corr(
 ) -> DataFrame:
     """Correlation of each feature with the next row's target, strongest first.
 
-    Undefined correlations are dropped. All columns share one aggregate, combined
-    before the shuffle.
+    ``features`` may carry the next value already, as ``target_1``. Undefined correlations
+    are dropped. Each task reduces all columns to six sums per series.
     """
-    placed = (
-        features if POS in features.columns else with_positions(features, layout)
-    )
-    laid = bucket_rows(placed, layout, ahead=1)
-    ahead = laid.with_columns({"__next": F.lead(target, 1).over(laid.w)}).close()
+    if f"{target}_1" in features.columns:
+        ahead = features.withColumn("__next", F.col(f"{target}_1"))
+    else:
+        placed = features if POS in features.columns else with_positions(features, layout)
+        laid = bucket_rows(placed, layout, ahead=1)
+        ahead = laid.with_columns({"__next": F.lead(target, 1).over(laid.w)}).close()
     by = [layout.key] if per_series else []
-    # Rows without a next value take no part; a constant feature has no correlation.
-    aggs = []
-    for c in cols:
-        x = F.when(F.col("__next").isNotNull(), F.col(c).cast("double"))
-        y = F.when(x.isNotNull(), F.col("__next").cast("double"))
-        spread = F.stddev_samp(x) * F.stddev_samp(y)
-        aggs.append(F.try_divide(F.covar_samp(x, y), spread).alias(c))
-    corr = ahead.groupBy(*by).agg(*aggs)
-    out = unpivot_row(corr, by, {c: F.col(c) for c in cols}, "feature", "future_corr")
-    out = out.where(F.col("future_corr").isNotNull() & ~F.isnan("future_corr"))
+    corr = correlations(ahead.where(F.col("__next").isNotNull()), cols, "__next", by)
+    out = corr.withColumnRenamed("corr", "future_corr").where(F.col("future_corr").isNotNull())
     out = out.orderBy(F.abs("future_corr").desc(), "feature")
     return out if top is None else out.limit(top)
 
 
+def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per column of x: n, means of x and y, and centred sums xx, yy, xy over rows without NaN."""
+    ok = ~(np.isnan(x) | np.isnan(y)[:, None])
+    n = ok.sum(0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mx = np.where(ok, x, 0).sum(0) / n
+        my = (ok * np.where(np.isnan(y), 0, y)[:, None]).sum(0) / n
+    dx, dy = np.where(ok, x - mx, 0), np.where(ok, y[:, None] - my, 0)
+    return np.nan_to_num(np.stack([n, mx, my, (dx * dx).sum(0), (dy * dy).sum(0), (dx * dy).sum(0)]))
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy, w = b[1] - a[1], b[2] - a[2], a[0] * share
+    return np.stack([
+        n, a[1] + dx * share, a[2] + dy * share,
+        a[3] + b[3] + w * dx * dx, a[4] + b[4] + w * dy * dy, a[5] + b[5] + w * dx * dy,
+    ])
+
+
+def correlations(df: DataFrame, cols: Sequence[str], with_: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by, feature, corr`` of each column with ``with_``, null where one of them is constant.
+
+    Pairs with a null or NaN are left out, each column's own.
+    """
+    cols, by = list(cols), list(by)
+    group = by[0] if by else "__all"
+    slim = df.select(
+        *(F.col(c) for c in by), *([] if by else [F.lit(0).alias(group)]),
+        F.array(*(F.col(c).cast("double") for c in [*cols, with_])).alias("__x"),
+    )
+    kind = slim.schema[group].dataType.simpleString()
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            x = pc.list_flatten(batch.column("__x")).to_numpy(False).reshape(batch.num_rows, -1)
+            names = batch.column(group).dictionary_encode()
+            codes = names.indices.fill_null(-1).to_numpy(False)
+            for code in np.unique(codes).tolist():
+                name = None if code < 0 else names.dictionary[code].as_py()
+                own = x[codes == code]
+                found = _moments(own[:, :-1], own[:, -1])
+                held[name] = _joined(held[name], found) if name in held else found
+            if len(held) * len(cols) > 1 << 20:
+                yield from out(held, batch.schema.field(group).type)
+                held = {}
+        if held:
+            yield from out(held, batch.schema.field(group).type)
+
+    def out(held: dict, type_: pa.DataType) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), type_), pa.array([v.ravel() for v in held.values()], pa.list_(pa.float64()))], [group, "m"]
+        )
+
+    def finish(table: pa.Table) -> pa.Table:
+        total = np.zeros((6, len(cols)))
+        for m in table.column("m").to_pylist():
+            total = _joined(total, np.array(m).reshape(6, -1))
+        n, _, _, xx, yy, xy = total
+        flat = (xx <= 1e-24 * np.maximum(total[1] ** 2 * n, 1e-300)) | (yy <= 1e-24 * np.maximum(total[2] ** 2 * n, 1e-300))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            corr = np.where(flat, np.nan, xy / np.sqrt(xx * yy))
+        first = table.column(group).combine_chunks().take(pa.array(np.zeros(len(cols), np.int64)))
+        return pa.table({group: first, "feature": cols, "corr": pa.array(corr, from_pandas=True)})
+
+    parts = slim.mapInArrow(partial, f"`{group}` {kind}, m array<double>")
+    found = parts.groupBy(group).applyInArrow(finish, f"`{group}` {kind}, feature string, corr double")
+    return found if by else found.drop(group)
+
+
 def leakage_recheck(
     features: DataFrame,
     lags: Sequence[int],
