@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.rolling import before, gated
 from seriesloom.plans.layout import BUCKET, HALO, POS, Laid
+from seriesloom.session import cut_lineage
 
 # Weight below which older rows no longer change a double.
 NEGLIGIBLE = 1e-17
@@ -170,8 +171,13 @@ def macd(laid: Laid, x: str, fast: int = 12, slow: int = 26, signal: int = 9) ->
     """Difference of two exponential means of the past, its smoothed signal and their gap.
 
     Shifting before or after an exponential mean is the same, so the means run on
-    the series itself and are shifted afterwards.
+    the series itself and are shifted afterwards. Each mean reads its input twice, so the
+    laid-out rows are stored first.
     """
+    if laid.layout.mode != "plain":
+        tasks = laid.df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        stored = cut_lineage(laid.df).repartition(laid.layout.tasks or int(tasks), laid.layout.key, BUCKET)
+        laid = Laid(stored, laid.layout)
     staged = ewm(laid, x, {"__fast": fast, "__slow": slow})
     staged = staged.with_columns(
         {"macd": F.lag(F.col("__fast") - F.col("__slow"), 1).over(laid.w)}

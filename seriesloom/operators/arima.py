@@ -141,7 +141,8 @@ def _residual_stage(
     reach = max([0, *spec.ar, *spec.ma])
     d = len(spec.differencing) - 1
     scaled, stats = _scaled(df, value, spec.exog, layout)
-    placed = with_positions(scaled, layout)
+    # Three passes read these few columns; what lies below them runs once.
+    placed = cut_lineage(with_positions(scaled, layout))
     laid = bucket_rows(placed, layout, back=d + m + reach + 1)
     laid = _differenced(laid, ["__x", *spec.exog], spec.differencing)
     z = "__z___x"
