@@ -2,7 +2,9 @@
 
 The design is a list of Spark expressions of the date, the fit a penalised least
 squares on one Gram matrix per series, the forecast the same expressions times
-the coefficients.
+the coefficients. Changes of the trend have a Laplace prior, so most of them are zero;
+waves and events have normal priors. Intervals hold the noise and the changes that the
+trend may yet make: as often as the model allows for in training, as large as those found.
 """
 
 from __future__ import annotations
@@ -52,12 +54,51 @@ class AdditiveConfig:
         waves = 2 * (self.weekly + self.yearly)
         return np.array(
             [0.0, 0.0]
-            + [self.changepoint_scale**-2] * self.changepoints
+            + [0.0] * self.changepoints
             + [self.seasonality_scale**-2] * waves
             + [self.event_scale**-2] * len(self.events)
         )
 
 
+def sparse_changes(
+    m: np.ndarray, penalty: np.ndarray, hinges: slice, weight: float, sweeps: int = 5000
+) -> np.ndarray:
+    """Minimiser of b'Ab/2 - c'b + sum(penalty * b^2)/2 + weight * sum |b| over the hinges.
+
+    ``m`` is the Gram matrix with the target last. All other coefficients are eliminated, so
+    coordinates are descended over the hinges alone; the signs found then give the solution
+    of a linear system, which is kept if it has these signs.
+    """
+    k = len(penalty)
+    a, c = m[:k, :k] + np.diag(penalty), m[:k, k]
+    h = np.arange(k)[hinges]
+    r = np.setdiff1d(np.arange(k), h)
+    inner = np.linalg.pinv(a[np.ix_(r, r)], hermitian=True)
+    cross = a[np.ix_(r, h)]
+    s = a[np.ix_(h, h)] - cross.T @ inner @ cross
+    q = c[h] - cross.T @ inner @ c[r]
+    x, slope, diagonal = np.zeros(len(h)), q.copy(), np.diag(s)
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in np.flatnonzero(diagonal > 1e-12):
+            at = slope[j] + diagonal[j] * x[j]
+            new = np.sign(at) * max(abs(at) - weight, 0.0) / diagonal[j]
+            if new != x[j]:
+                slope -= s[:, j] * (new - x[j])
+                moved = max(moved, abs(new - x[j]))
+                x[j] = new
+        if moved <= 1e-10:
+            break
+    on = np.flatnonzero(x)
+    if len(on):
+        exact = np.linalg.lstsq(s[np.ix_(on, on)], q[on] - weight * np.sign(x[on]), rcond=None)[0]
+        if (np.sign(exact) == np.sign(x[on])).all():
+            x[on] = exact
+    beta = np.zeros(k)
+    beta[h], beta[r] = x, inner @ (c[r] - cross @ x)
+    return beta
+
+
 def design(cfg: AdditiveConfig, d: Column, t0: Column, t1: Column) -> dict[str, Column]:
     """Design columns of a date; ``t0, t1`` are the first and last training day."""
     day = F.datediff(d, F.lit("1970-01-01").cast("date")).cast("double")
@@ -115,15 +156,20 @@ def additive_fit(
         n = m[0, 0]
         # Noise from a weakly penalised fit turns prior scales into penalties.
         noise = Fit(m, range(k), k, n, np.full(k, 1e-8)).sigma2
-        fit = Fit(m, range(k), k, n, prior * noise + 1e-8)
+        hinges = slice(2, 2 + cfg.changepoints)
+        beta = sparse_changes(m, prior * noise + 1e-8, hinges, noise / cfg.changepoint_scale)
+        ssr = max(m[k, k] - 2 * beta @ m[:k, k] + beta @ m[:k, :k] @ beta, 0.0)
+        square = float((beta[hinges] ** 2).mean()) if cfg.changepoints else 0.0
         return [
             {
                 key: row[key],
                 "t0": row["t0"],
                 "t1": row["t1"],
-                "coef": (fit.beta * row["scale"]).tolist(),
-                "sigma": math.sqrt(fit.ssr / max(n - 1, 1)) * row["scale"],
+                "coef": (beta * row["scale"]).tolist(),
+                "sigma": math.sqrt(ssr / max(n - 1, 1)) * row["scale"],
                 "n_obs": int(n),
+                # Variance of the slope's changes in one unit of time, at the places' rate.
+                "drift": cfg.changepoints / cfg.changepoint_range * square * row["scale"] ** 2,
             }
         ]
 
@@ -131,7 +177,8 @@ def additive_fit(
     fits = per_series(
         joined,
         solve,
-        f"{key} string, t0 date, t1 date, coef array<double>, sigma double, n_obs bigint",
+        f"{key} string, t0 date, t1 date, coef array<double>, sigma double, n_obs bigint,"
+        " drift double",
     )
     return cut_lineage(fits)
 
@@ -143,17 +190,26 @@ def additive_score(
     key: str = "ticker",
     ts: str = "d",
 ) -> DataFrame:
-    """``yhat, lower, upper`` for given dates, all in Spark expressions."""
-    rows = attach(dates, fit.select(key, "t0", "t1", "coef", "sigma"), [key], how="inner")
+    """``yhat, lower, upper`` for given dates, all in Spark expressions.
+
+    Behind the training days the interval widens by the changes the trend may make there,
+    and by those it may have made in the last part of training, where the model has no place
+    for them. As a Poisson process they give a level u units on the variance
+    drift * (u^3 / 3 + part * u^2).
+    """
+    rows = attach(dates, fit.select(key, "t0", "t1", "coef", "sigma", "drift"), [key], how="inner")
     cols = design(cfg, F.col(ts).cast("date"), F.col("t0"), F.col("t1"))
     yhat = F.lit(0.0)
     for i, c in enumerate(cols.values()):
         yhat = yhat + F.get("coef", F.lit(i)) * c
-    return rows.withColumn("yhat", yhat).select(
+    span = F.nullif(F.datediff("t1", "t0"), F.lit(0))
+    ahead = F.greatest(F.coalesce(F.try_divide(F.datediff(F.col(ts).cast("date"), "t1"), span), F.lit(0.0)), F.lit(0.0))
+    spread = Z95 * F.sqrt(F.col("sigma") * F.col("sigma") + F.col("drift") * (ahead / 3 + F.lit(1 - cfg.changepoint_range)) * ahead * ahead)
+    return rows.withColumns({"yhat": yhat, "__spread": spread}).select(
         *dates.columns,
         "yhat",
-        (F.col("yhat") - Z95 * F.col("sigma")).alias("lower"),
-        (F.col("yhat") + Z95 * F.col("sigma")).alias("upper"),
+        (F.col("yhat") - F.col("__spread")).alias("lower"),
+        (F.col("yhat") + F.col("__spread")).alias("upper"),
     )
 
 
