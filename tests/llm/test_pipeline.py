@@ -67,3 +67,27 @@ def test_packing(steps):
 def test_run(spark, steps):
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, P.run(spark, SF).collect())) == sorted(map(key, steps[5].collect()))
+
+
+@pytest.mark.parametrize("rows", ["edge", "empty"])
+def test_stages_on_edge_rows(spark, rows):
+    """Nulls, empty and long texts, repeated rows and own columns named like the operators'."""
+    text = " ".join(f"word{k % 7}x{k}" for k in range(60))
+    data = [
+        (1, text, "en", "a", 7, 5, "mine"), (1, text, "en", "a", 7, 5, "mine"), (None, None, None, None, None, None, None),
+        (2, "", "en", "a", 0, 6, "mine"), (3, "plain " * 40_000, "en", "b", 1, 7, "mine"), (4, text + " more", "en", "b", 2, 8, "other"),
+    ]
+    docs = spark.createDataFrame(
+        data if rows == "edge" else [],
+        "doc_id long, text string, lang string, source string, n_chars long, row int, score string",
+    )
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        got = {tuple(r) for r in out.collect()}
+        if name != "secret_scans":
+            assert got <= {tuple(r) for r in data}, name
+        if name == "near_duplicates" and rows == "edge":
+            assert len([r for r in got if r[0] in (1, 4)]) == 1
+    packed = P.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").collect()
+    assert len({(r.doc_id, r.piece) for r in packed}) >= (5 if rows == "edge" else 0)
