@@ -67,7 +67,7 @@ def test_exchange_finds_two_kinds(spark):
     docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
     counts = L.word_counts(docs).orderBy(F.desc("c"), "h").toPandas()
     words = counts.h[counts.h != L.END].to_numpy()
-    model = L.cluster(docs, words, sweeps=4)
+    model, _ = L.cluster(docs, words, sweeps=4)
     import pyarrow as pa
 
     def classes(names):
@@ -87,3 +87,83 @@ def test_cases(spark):
     assert L.score(df.limit(0), F.lit(False)).count() == 0
     unseen = L.score(df, F.lit(True)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in unseen)
+
+
+def _corpus(spark):
+    rng = np.random.default_rng(5)
+    nouns, verbs = [f"n{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    weights = 1 / np.arange(1, 61)
+    pick = lambda x: x[rng.choice(60, p=weights / weights.sum())]
+    rows = []
+    for i in range(120):
+        words = [pick(nouns) if j % 2 else pick(verbs) for j in range(rng.integers(0, 60))]
+        if i % 5 == 0:
+            words += [f"rare{i}", f"odd{i}", pick(nouns)]
+        rows.append((i, " ".join(words)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), dict(rows)
+
+
+def test_what_goes_to_the_tasks_changes_no_score(spark):
+    docs, _ = _corpus(spark)
+    got = []
+    for head in (0, 20, 1 << 18):
+        rows = L.score(docs, F.col("doc_id") % 7 == 2, seeded=8, head=head, min_count=3).collect()
+        got.append({r.doc_id: (r.n_known, r.base_score, r.score) for r in rows})
+    for other in got[1:]:
+        for i, x in got[0].items():
+            assert other[i] == pytest.approx(x, rel=1e-9)
+
+
+def test_score_against_brute_force(spark, monkeypatch):
+    """Transitions and emissions counted word by word from the classes the model chose."""
+    docs, texts = _corpus(spark)
+    found = {}
+    look_up = L.transitions
+
+    def spy(train, head, words):
+        found.update({r.h: r.k for r in words.collect()})
+        return look_up(train, head, words)
+
+    monkeypatch.setattr(L, "transitions", spy)
+    rows = L.score(docs, F.col("doc_id") % 7 == 2, seeded=8, head=20, min_count=3).collect()
+    import pyarrow as pa
+
+    stream = lambda x: L.token_stream(pa.record_batch({"text": pa.array([x])}))[0].tolist()
+    kind = lambda h: L.END_CLASS if h == L.END else found.get(h, L.CLASSES + (h & 15))
+    steps, words = collections.Counter(), collections.Counter()
+    for i, x in texts.items():
+        if i % 7 != 2:
+            h = stream(x)
+            words.update(h)
+            steps.update(zip([L.END_CLASS, *map(kind, h)], map(kind, h)))
+    outgoing, room = collections.Counter(), collections.Counter()
+    for (a, _), c in steps.items():
+        outgoing[a] += c
+    for h, c in words.items():
+        room[kind(h)] += c + L.ADD_WORD
+    # Every word counted often enough has an exchanged class.
+    assert all((kind(h) < L.CLASSES) == (c >= 3) for h, c in words.items() if h != L.END)
+    for r in rows:
+        h, want = stream(texts[r.doc_id]), 0.0
+        for a, b in zip([L.END, *h], h):
+            a_, b_ = kind(a), kind(b)
+            want += math.log10((steps[a_, b_] + L.ADD_CLASS) / (outgoing[a_] + L.ADD_CLASS * L.K))
+            if b != L.END:
+                want += math.log10((words[b] + L.ADD_WORD) / (room[b_] + L.ADD_WORD))
+        assert r.score == pytest.approx(want)
+
+
+def test_further_words_join_their_kind(spark):
+    docs, _ = _corpus(spark)
+    h, c = (L.word_counts(docs).toArrow().column(x).to_numpy() for x in ("h", "c"))
+    words = h[np.lexsort((h, -c))]
+    words = words[words != L.END]
+    seeded, sums = L.cluster(docs, words[:8], sweeps=4)
+    profiles = L.word_profiles(docs, seeded, 5)
+    got = {r.h: r.k for r in L.exchange_all(profiles, sums, 4).collect()}
+    assert len(got) == sum(c[h != L.END] >= 5) - 8
+    import pyarrow as pa
+
+    stream = lambda x: L.token_stream(pa.record_batch({"text": pa.array([x])}))[0].tolist()
+    of = lambda p: {got[h] for h in stream(" ".join(f"{p}{i}" for i in range(60))) if h in got}
+    assert not of("n") & of("v")
