@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
+    BARS,
     CUT,
     EVENTS,
     TEST_START,
@@ -216,6 +217,47 @@ def _(spark, sf):
     return fc.join(runs.select("model", "status"), "model")
 
 
+CUTS = ("1998-01-01", "1999-01-01", "2000-01-01")
+CUT_ROWS = ", ".join(f"('{c}')" for c in CUTS)
+
+
+@register(
+    "backtest_naive",
+    f"""WITH {BARS}, cuts AS (SELECT * FROM (VALUES {CUT_ROWS}) AS v(cut)),
+l AS (SELECT ticker, cut, max_by(close, d) AS yhat FROM bars, cuts WHERE d < CAST(cut AS DATE) GROUP BY 1, 2),
+a AS (SELECT ticker, cut, close AS y, row_number() OVER (PARTITION BY ticker, cut ORDER BY d) AS step FROM bars, cuts WHERE d >= CAST(cut AS DATE))
+SELECT ticker, 'naive' AS model, cut, {r("avg(abs(y - yhat))", "mae", 4)}, {r("avg((y - yhat) * (y - yhat))", "mse", 2)}, {r("sqrt(avg((y - yhat) * (y - yhat)))", "rmse", 4)}, {r("avg(abs((y - yhat) / y)) * 100", "mape", 4)}
+FROM a JOIN l USING (ticker, cut) WHERE step <= 30 GROUP BY 1, 3""",
+)
+def _(spark, sf):
+    """Held-out errors of the last value, thirty rows after each of three dates."""
+    models = {"naive": forecasting.naive_model()}
+    got = forecasting.backtest(closes(spark, sf), CUTS, 30, models, layout=CUT, by_cut=True)
+    return got.select(
+        "ticker", "model", "cut", F.round("mae", 4).alias("mae"), F.round("mse", 2).alias("mse"),
+        F.round("rmse", 4).alias("rmse"), F.round("mape", 4).alias("mape"),
+    )
+
+
+@register("backtest_models")
+def _(spark, sf):
+    """Held-out errors of every model family over three cut dates."""
+    models = {"naive": forecasting.naive_model(), **forecasting.default_models()}
+    return forecasting.backtest(closes(spark, sf), CUTS, 30, models, layout=CUT)
+
+
+@register("arimax_forecast")
+def _(spark, sf):
+    """Thirty days ahead with the events that fall into them."""
+    fit = arima.arima_fit(flagged(spark, sf), (2, 0, 2), layout=CUT, exog=FLAGS)
+    ahead = arima.future_events(fit, 30, AHEAD)
+    return arima.arima_forecast(fit, 30, ahead)
+
+
+#: The flags' events as they stand after training: the first recurs, the second does not.
+AHEAD = (("2000-01-10", "2000-01-20"), ("1998-03-01", "1998-05-01"))
+
+
 @register(
     "calendar_align",
     f"""WITH {FORECAST_SQL}, b AS (SELECT CAST(x AS DATE) AS d, row_number() OVER (ORDER BY x) AS step FROM (SELECT unnest(generate_series(DATE '2002-01-01', DATE '2002-03-31', INTERVAL 1 DAY)) AS x) WHERE isodow(x) <= 5)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesloom.catalog.base import CUT, ROWS, W, closes, mkt, r, register, rounded
 from seriesloom.operators import autocorr, datasets
 from seriesloom.operators.decomposition import decompose
-from seriesloom.operators.stationarity import adf_test
+from seriesloom.operators.stationarity import adf_test, stationarity_report
 from seriesloom.plans.groupstats import attach
 from seriesloom.plans.layout import with_positions
 
@@ -79,6 +79,13 @@ def _(spark, sf):
     return datasets.arima_input(df, "1996-01-01", layout=CUT)
 
 
+@register("stationarity_report")
+def _(spark, sf):
+    """Both tests of the autoregressive models' input: before and after differencing."""
+    df = closes(spark, sf).unionByName(running_total(spark, sf))
+    return stationarity_report(df, "1996-01-01", layout=CUT)
+
+
 def running_total(spark, sf):
     """Cumulated centred closes of one segment: a series that needs differencing."""
     df = closes(spark, sf).where(F.col("ticker") == "BUILDING")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators.autocorr import Z95
 from seriesloom.operators.calendars import future_calendar
+from seriesloom.operators.joins import Event, event_flags
 from seriesloom.operators.refine import TASK_ROWS, Shape, refine
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
@@ -205,7 +206,7 @@ def _tail_rows(df: DataFrame, spec: Spec, value: str, layout: Layout) -> DataFra
     )
     return tail.select(
         layout.key,
-        F.col("last_d").cast("date").alias("last_d"),
+        "last_d",
         F.transform("t", lambda r: r["x"]).alias("tail_x"),
         F.transform("t", lambda r: r["w"]).alias("tail_w"),
     )
@@ -260,7 +261,7 @@ FIT_SCHEMA = (
     "{key} string, p int, d int, q int, seasonal array<int>, const double,"
     " ar array<double>, ma array<double>, exog array<double>, se array<double>,"
     " sigma2 double, n_obs bigint, aic double, bic double, centre double, scale double,"
-    " last_d date, tail_x array<double>, tail_e array<double>,"
+    " last_d {ts}, tail_x array<double>, tail_e array<double>,"
     " tail_w array<array<double>>, status string"
 )
 
@@ -286,6 +287,7 @@ def arima_fit(
     """
     spec = Spec(tuple(order), tuple(seasonal), tuple(exog))
     key = layout.key
+    schema = FIT_SCHEMA.format(key=key, ts=df.schema[layout.ts].dataType.simpleString())
     stage = _residual_stage(df, spec, value, layout, max([0, *spec.ma]))
     cols = [
         "__1",
@@ -351,7 +353,7 @@ def arima_fit(
         .join(stage.coefs, key, "left")
         .join(_tail_rows(df, spec, value, layout), key, "left")
     )
-    fits = cut_lineage(per_series(joined, solve, FIT_SCHEMA.format(key=key)))
+    fits = cut_lineage(per_series(joined, solve, schema))
     if not spec.ma and not spec.seasonal[0]:
         return fits
     shape = Shape(spec.constant, ne, tuple(spec.ar), tuple(spec.ma), spec.order, spec.seasonal)
@@ -361,7 +363,7 @@ def arima_fit(
     better = refine(stage.design, beta, cols[1 : 1 + ne + na] + cols[-1:], shape, key, layout.rows, task_rows)
     better = better.select(F.col(key).alias("__k"), *(F.col(c).alias(f"__{c}") for c in ("free", "params", "ssr", "n", "g", "e")))
     both = fits.join(better, F.col(key) == F.col("__k"), "left").drop("__k")
-    return cut_lineage(per_series(both, _refined(shape, ne, na), FIT_SCHEMA.format(key=key)))
+    return cut_lineage(per_series(both, _refined(shape, ne, na), schema))
 
 
 def _refined(shape: Shape, ne: int, na: int):
@@ -577,16 +579,34 @@ def _forecast_path(
     return mean, np.sqrt(float(row["sigma2"]) * np.cumsum(psi**2))
 
 
+def future_events(
+    fit: DataFrame,
+    steps: int,
+    events: Sequence[Event],
+    key: str = "ticker",
+    freq: str = "D",
+) -> DataFrame:
+    """``future`` rows for ``arima_forecast``: one flag per event at each date ahead."""
+    ahead = future_calendar(fit.select(key, F.col("last_d").alias("d")), steps, freq, key)
+    flags = [f"event_{i}" for i in range(1, len(events) + 1)]
+    marked = event_flags(ahead, events, "d", per_event=True)
+    row = F.struct("step", F.array(*(F.col(c).cast("double") for c in flags)).alias("w"))
+    return marked.groupBy(key).agg(
+        F.array_sort(F.collect_list(row)).alias("__rows")  # ``steps`` rows
+    ).select(key, F.col("__rows.w").alias("future"))
+
+
 def arima_forecast(
     fit: DataFrame,
     steps: int = 30,
     exog: DataFrame | None = None,
     key: str = "ticker",
     model: str = "arima",
+    freq: str = "D",
 ) -> DataFrame:
     """``steps`` forecasts per series with a 95% interval, dated from the day after the fit.
 
-    ``exog`` holds one array of future regressor rows per series: ``ticker, future``.
+    ``freq`` is one of ``future_calendar``; an interval keeps the time of day. ``exog`` holds one array of future regressor rows per series: ``ticker, future``.
     The recursion runs once per series on the stored tail, not on the history.
     """
     rows = fit.where(F.col("status") != "failed")
@@ -615,7 +635,7 @@ def arima_forecast(
     path = per_series(
         rows, solve, f"{key} string, step int, yhat double, lower double, upper double"
     )
-    dates = future_calendar(fit.select(key, F.col("last_d").alias("d")), steps, "D", key)
+    dates = future_calendar(fit.select(key, F.col("last_d").alias("d")), steps, freq, key)
     return path.join(dates, [key, "step"]).select(
         key, F.lit(model).alias("model"), "step", "d", "yhat", "lower", "upper"
     )

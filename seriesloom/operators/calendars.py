@@ -51,7 +51,10 @@ def business_days(spark: SparkSession, start: str, end: str) -> DataFrame:
 def future_calendar(
     df: DataFrame, periods: int, freq: str = "D", key: str = "ticker", ts: str = "d"
 ) -> DataFrame:
-    """``periods`` dates per series from the day after its last: days, week ends or month ends."""
+    """``periods`` dates per series from the day after its last: days, week ends or month ends.
+
+    Another ``freq`` is an interval such as ``1 hour``: times at that step after the last one.
+    """
     first = F.date_add(F.col("__last"), 1)
     step = F.col("step")
     if freq == "D":
@@ -61,11 +64,14 @@ def future_calendar(
         date = F.date_add(F.next_day(F.col("__last"), "SUN"), 7 * (step - 1))
     elif freq == "M":
         date = F.last_day(F.add_months(first, step - 1))
+    elif len(parts := freq.split()) == 2 and parts[0].isdigit():
+        date = F.col("__last") + F.expr(f"INTERVAL '1' {parts[1]}") * (step * int(parts[0]))
     else:
         raise ValueError(f"unknown frequency: {freq}")
+    last = F.col(ts).cast("date") if freq in ("D", "W", "M") else F.col(ts)
     return (
         df.groupBy(key)
-        .agg(F.max(F.col(ts).cast("date")).alias("__last"))
+        .agg(F.max(last).alias("__last"))
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(periods))))
         .select(key, "step", date.alias("d"))
     )

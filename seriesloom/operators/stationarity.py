@@ -12,6 +12,7 @@ from seriesloom.operators.filters import between_ts
 from seriesloom.plans.gram import Fit, full_matrix, gram, per_series
 from seriesloom.plans.groupstats import attach
 from seriesloom.plans.layout import POS, Layout, lay_out
+from seriesloom.session import cut_lineage
 
 # Fixed values (MacKinnon 1994, 2010; constant, one series): critical value
 # polynomials in 1/T by significance level.
@@ -170,7 +171,41 @@ def stationarize(
     """
     if start is not None:
         df = between_ts(df, start, None, layout.ts)
-    verdict = adf_test(df, max_lag, value, layout).select(
+    return _differenced(df, adf_test(df, max_lag, value, layout), value, layout)
+
+
+def stationarity_report(
+    df: DataFrame,
+    start: str | None = None,
+    value: str = "close",
+    layout: Layout = Layout(),
+    max_lag: int | None = None,
+) -> DataFrame:
+    """One row per series: the test of the values and, where they were differenced, of the result.
+
+    ``ready`` tells whether the input that ``stationarize`` makes is stationary. The second test
+    reads only the series that failed the first one.
+    """
+    if start is not None:
+        df = between_ts(df, start, None, layout.ts)
+    key = layout.key
+    first = cut_lineage(adf_test(df, max_lag, value, layout))
+    failed = first.where(~F.coalesce("stationary", F.lit(False))).select(key)
+    changed = _differenced(df.join(failed, key, "left_semi"), first, value, layout)
+    second = adf_test(changed, max_lag, "x", layout)
+    of = ("statistic", "p_value", "used_lag", "n_obs", "stationary")
+    again = second.select(key, *(F.col(c).alias(f"{c}_diff") for c in of))
+    return first.select(key, *of).join(again, key, "left").withColumns(
+        {
+            "differenced": ~F.coalesce("stationary", F.lit(False)),
+            "ready": F.coalesce("stationary", F.lit(False))
+            | F.coalesce("stationary_diff", F.lit(False)),
+        }
+    )
+
+
+def _differenced(df: DataFrame, tests: DataFrame, value: str, layout: Layout) -> DataFrame:
+    verdict = tests.select(
         layout.key, F.coalesce("stationary", F.lit(False)).alias("__ok")
     )
     laid = lay_out(df, layout, back=1)
