@@ -537,7 +537,7 @@ _RECHECK = [f"lag_{k}" for k in rolling.LAGS] + [f"ma_{n}" for n in rolling.MEAN
     f"""WITH {ROWS}, f AS (SELECT ticker, rn, close, {', '.join(sql_lags(rolling.LAGS) + sql_partial("avg", "ma", rolling.MEAN_WINDOWS, 9))} FROM x)
 {' UNION ALL '.join(
     [f"SELECT 'lag_{k}' AS feature, count(*) FILTER (abs(f.lag_{k} - p.close) >= 1e-6 OR (f.lag_{k} IS NULL) <> (p.close IS NULL)) AS violations FROM f LEFT JOIN x p ON p.ticker = f.ticker AND p.rn = f.rn - {k}" for k in rolling.LAGS]
-    + [f"SELECT 'ma_{n}', count(*) FILTER (ma_{n} IS NULL AND rn > 1) FROM f" for n in rolling.MEAN_WINDOWS])}""",
+    + [f"SELECT 'ma_{n}', count(*) FILTER ((f.ma_{n} IS NULL) <> (m.v IS NULL) OR abs(f.ma_{n} - m.v) >= 1e-6) FROM f LEFT JOIN (SELECT a.ticker, a.rn, avg(b.close) AS v FROM x a JOIN x b ON b.ticker = a.ticker AND b.rn >= a.rn - {n} AND b.rn < a.rn GROUP BY 1, 2) m ON m.ticker = f.ticker AND m.rn = f.rn" for n in rolling.MEAN_WINDOWS])}""",
 )
 def _(spark, sf):
     """All rows of every lag and mean, recomputed another way: no row may disagree."""
