@@ -11,8 +11,13 @@ hash: equal windows meet there, and no text is needed elsewhere.
 - The different spans of a hash go to a shard, which sorts all suffixes of its spans by
   external induced sorting (`suffixes`); a window is a repeat if its common prefix with a
   neighbour reaches `length`.
+- A hash whose different spans exceed `GROUP_BYTES` (a passage in many documents, with other
+  text around it each time) would make a shard as large as its group. The windows of its spans
+  are counted by their own hash instead, in a grouping that combines before the shuffle, so
+  such a group is spread over all tasks.
 
-Equality of spans is that of two 64-bit hashes of different strings of them.
+Equality of spans is that of two 64-bit hashes of different strings of them, and so is that of
+windows that are counted.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.llm.base import Packed, ensure_checkpoint_dir, pieces, register, table
@@ -35,6 +40,8 @@ LENGTH, GRAM = 400, 128
 SPAN = 1024
 #: Span bytes that a shard sorts at a time, about; a hash's spans are never parted.
 SHARD_BYTES = 8 << 20
+#: Bytes of different spans of one hash that a shard takes at most; beyond, windows are counted.
+GROUP_BYTES = 4 << 20
 _SIEVE = 1 << 21
 
 
@@ -135,6 +142,44 @@ def _shard(rows: list[tuple], length: int) -> pa.RecordBatch | None:
     )
 
 
+def counted_windows(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
+    """h, d, x, y as of `_shard` for spans (h, d, n, row, first, size), by counts of windows."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            packed = Packed(batch.column("text"))
+            hash_of = packed.hasher()
+            spans = [
+                (s["h"], s["d"], s["n"], start + s["first"], s["size"])
+                for start, own in zip(packed.starts.tolist(), batch.column("w").to_pylist())
+                for s in own
+            ]
+            h, d, n, first, size = (np.array(c, np.int64) for c in zip(*spans))
+            cuts = np.concatenate([[0], np.cumsum(size)])
+            at = np.arange(cuts[-1]) + np.repeat(first - cuts[:-1], size)
+            windows = pa.ListArray.from_arrays(
+                pa.array(cuts, pa.int32()), pa.array(hash_of(at, at + length).view(np.int64))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(d), pa.array(n), windows], ["h", "d", "n", "windows"]
+            )
+
+    wanted = kinds.groupBy("row").agg(F.collect_list(F.struct("h", "d", "n", "first", "size")).alias("w"))
+    windows = stored(
+        docs.join(wanted, "row").mapInArrow(hashes, "h long, d long, n long, windows array<long>")
+    ).select("h", "d", "n", F.posexplode("windows").alias("x", "window"))
+    repeated = windows.groupBy("h", "window").agg(F.sum("n").alias("n")).where("n > 1").select("h", "window")
+    # Consecutive starts have one difference to their rank in the span (SPAN starts at most).
+    rank = F.row_number().over(Window.partitionBy("h", "d").orderBy("x"))
+    return stored(
+        windows.join(repeated, ["h", "window"])
+        .select("h", "d", "x", (F.col("x") - rank).alias("run"))
+        .groupBy("h", "d", "run")
+        .agg(F.min("x").cast("long").alias("x"), (F.max("x") + 1).cast("long").alias("y"))
+        .drop("run")
+    )
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """row, first, last: runs of window starts whose `length` bytes start elsewhere too."""
 
@@ -160,12 +205,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     equal = found.where(~F.col("mixed")).select("row", "first", (F.col("first") + F.col("size") - 1).alias("last"))
 
     # One span stands for equal ones; its text is cut where the document lies.
-    kinds = (
+    kinds = stored(
         found.where("mixed").groupBy("h", "d")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "size")).alias("s"))
         .select("h", "d", "n", "s.*")
     )
-    wanted = kinds.groupBy("row").agg(F.collect_list(F.struct("h", "d", "n", "first", "size")).alias("w"))
+    wide = stored(
+        kinds.groupBy("h").agg(F.sum(F.col("size") + (length - 1)).alias("bytes"))
+        .where(F.col("bytes") > GROUP_BYTES).select("h")
+    )
+    wanted = kinds.join(wide, "h", "left_anti").groupBy("row").agg(F.collect_list(F.struct("h", "d", "n", "first", "size")).alias("w"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -203,6 +252,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         .sortWithinPartitions("h", "d")
         .mapInArrow(sort, "h long, d long, x long, y long")
     )
+    if not wide.isEmpty():
+        sorted_ = sorted_.unionByName(counted_windows(docs, kinds.join(wide, "h"), length))
     mixed = found.where("mixed").join(sorted_, ["h", "d"]).select(
         "row", (F.col("first") + F.col("x")).alias("first"), (F.col("first") + F.col("y") - 1).alias("last")
     )

@@ -43,8 +43,8 @@ def test_given_documents(spark):
     assert any(0 < v[1] < v[0] for v in want.values())
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_shared_passages(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed,group", [(0, S.GROUP_BYTES), (1, S.GROUP_BYTES), (0, 0), (1, 300)])
+def test_shared_passages(spark, seed, group, monkeypatch):
     rng = random.Random(seed)
     word = lambda: rng.choice(["é", "ab", "c d", "xyz", "q\n"])
     passages = ["".join(word() for _ in range(rng.randrange(10, 90))) for _ in range(6)]
@@ -56,5 +56,6 @@ def test_shared_passages(spark, seed, monkeypatch):
     texts += [texts[10], texts[10]]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "row long, text string, kept string")
     monkeypatch.setattr(S, "SPAN", 40)
+    monkeypatch.setattr(S, "GROUP_BYTES", group)
     assert got(S.remove_repeats(df, 50, 16)) == brute(list(enumerate(texts)), 50)
     assert S.remove_repeats(df.limit(0)).count() == 0
