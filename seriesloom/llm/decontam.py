@@ -3,10 +3,11 @@
 Words are lower-cased runs of letters, digits and bytes beyond ASCII; shingles are five words
 (all words of a shorter item). A document's windows of as many words as an item has get a
 64-bit SimHash of their shingles; a window that shares no shingle with any item of that size
-has similarity 0 and is skipped. The items' fingerprints stand in a multi-index: two of them
-within `RADIUS` bits agree up to RADIUS // BLOCKS bits in one of `BLOCKS` blocks, so looking
-up each block finds every fingerprint within the radius. What is found is verified by the
-exact weighted similarity sum(min) / sum(max) of shingle counts.
+has similarity 0 and is skipped. The items' fingerprints stand in a multi-index: of two of them
+within `RADIUS` bits, some block b of `BLOCKS` differs in at most `NEAR`[b] bits, as the blocks'
+NEAR[b] + 1 add up to RADIUS + 1; so looking up each block finds every fingerprint within the
+radius. Windows are looked up `CELLS` pairs at a time, which bounds the memory of a step. What
+is found is verified by the exact weighted similarity sum(min) / sum(max) of shingle counts.
 
 Items come in blocks of bounded size, each held by every task; documents pass once a block.
 """
@@ -26,6 +27,10 @@ from seriesloom.llm.base import Packed, mix, pieces, register, table, word_spans
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS, BLOCKS = 64, 20, 8
+#: Bits in which a block may differ.
+NEAR = [(RADIUS + 1 + b) // BLOCKS - 1 for b in range(BLOCKS)]
+#: Pairs of window and item that one look-up marks.
+CELLS = 1 << 22
 #: Items, and words of items, that the tasks hold at a time.
 BLOCK_ITEMS, BLOCK_WORDS = 20_000, 4_000_000
 
@@ -63,31 +68,33 @@ def simhash(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Items of which some block of the fingerprint is within RADIUS // BLOCKS bits."""
+    """Items of which some block of the fingerprint is within its `NEAR` bits."""
 
     def __init__(self, prints: np.ndarray):
-        near = [
-            sum(1 << b for b in flips)
-            for n in range(RADIUS // BLOCKS + 1)
-            for flips in itertools.combinations(range(BITS // BLOCKS), n)
-        ]
         blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
         self.prints = prints
         self.table = np.zeros((BLOCKS, 256, len(prints)), bool)
         for b in range(BLOCKS):
-            for flip in near:
-                self.table[b, blocks[:, b] ^ flip, np.arange(len(prints))] = True
+            for n in range(NEAR[b] + 1):
+                for flips in itertools.combinations(range(BITS // BLOCKS), n):
+                    flip = sum(1 << bit for bit in flips)
+                    self.table[b, blocks[:, b] ^ flip, np.arange(len(prints))] = True
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query, item and distance of all pairs within RADIUS."""
         blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
-        found = np.zeros((len(prints), len(self.prints)), bool)
-        for b in range(BLOCKS):
-            found |= self.table[b, blocks[:, b]]
-        q, i = np.nonzero(found)
-        far = np.bitwise_count(prints[q] ^ self.prints[i])
-        good = far <= RADIUS
-        return q[good], i[good], far[good]
+        step = max(CELLS // len(self.prints), 1)
+        out = []
+        for a in range(0, len(prints), step):
+            part = blocks[a : a + step]
+            found = np.zeros((len(part), len(self.prints)), bool)
+            for b in range(BLOCKS):
+                found |= self.table[b, part[:, b]]
+            q, i = np.nonzero(found)
+            far = np.bitwise_count(prints[a + q] ^ self.prints[i])
+            good = far <= RADIUS
+            out.append((a + q[good], i[good], far[good]))
+        return tuple(np.concatenate(c) for c in zip(*out))
 
 
 class Items:
@@ -108,7 +115,7 @@ class Items:
             prints = np.concatenate([simhash(h, np.array([0]), np.array([len(h)])) for _, h in items])
             self.widths[width][size] = (
                 np.unique(every), [i for i, _ in items],
-                [Counter(h.tolist()) for _, h in items], MultiIndex(prints),
+                [h for _, h in items], MultiIndex(prints),
             )
         self.sieves = {}
         for width, sizes in self.widths.items():
@@ -130,7 +137,7 @@ class Items:
             )
             if not len(some):
                 continue
-            for size, (every, ids, counts, index) in sizes.items():
+            for size, (every, ids, own_shingles, index) in sizes.items():
                 at = np.minimum(np.searchsorted(every, h[some]), len(every) - 1)
                 hits = some[every[at] == h[some]]
                 if not len(hits):
@@ -138,11 +145,11 @@ class Items:
                 docs, first = np.unique(text[hits], return_index=True)
                 for doc, own in zip(docs.tolist(), np.split(hits, first[1:])):
                     a, b = int(cuts[doc]), int(cuts[doc + 1]) - width + 1
-                    self._windows(h[a:b], own - a, size - width + 1, (doc, width, size), ids, counts, index, best)
+                    self._windows(h[a:b], own - a, size - width + 1, (doc, width, size), ids, own_shingles, index, best)
         return [(k[0], ids_item, *v[1:]) for k, (ids_item, *v) in sorted(best.items(), key=lambda x: x[0])]
 
     @staticmethod
-    def _windows(h, hits, span, key, ids, counts, index, best) -> None:
+    def _windows(h, hits, span, key, ids, own_shingles, index, best) -> None:
         """Windows of `span` shingles of one document that hold a hit."""
         doc, width, _ = key
         last = max(len(h) - span, 0)
@@ -163,8 +170,9 @@ class Items:
                 for q, i, far in zip(*(x.tolist() for x in index.within(prints))):
                     start, end = int(group[q]), int(ends[q])
                     own = Counter(h[start:end].tolist())
-                    shared = (own & counts[i]).total()
-                    similar = shared / (own.total() + counts[i].total() - shared)
+                    other = Counter(own_shingles[i].tolist())
+                    shared = (own & other).total()
+                    similar = shared / (own.total() + other.total() - shared)
                     if similar >= SIMILARITY:
                         place = (doc, str(ids[i]), key[1], key[2], i)
                         value = (-similar, start)
