@@ -49,6 +49,40 @@ def _(spark, sf):
     return arima.arima_fit(training(spark, sf), (1, 2, 5), layout=CUT).select(*SOLVED)
 
 
+AR1 = f"""WITH {BARS}, t AS (SELECT ticker, d, close, lag(close) OVER (PARTITION BY ticker ORDER BY d) AS p FROM bars
+ WHERE d BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}'),
+m AS (SELECT ticker, avg(close) AS m, stddev_samp(close) AS s, arg_max(close, d) AS last, regr_slope(close, p) AS phi,
+ regr_intercept(close, p) AS a, count(p) AS n_obs,
+ (regr_syy(close, p) - regr_sxy(close, p) * regr_sxy(close, p) / regr_sxx(close, p)) / count(p) AS v FROM t GROUP BY 1)"""
+
+
+@register(
+    "arima_fit_ar1",
+    f"""{AR1} SELECT ticker, {r("(a + (phi - 1) * m) / s", "const", 6)}, {r("phi", "phi", 6)},
+ {r("v / (s * s)", "variance", 6)}, n_obs, 'success' AS status FROM m""",
+)
+def _(spark, sf):
+    """First-order autoregression; the variance is in the standardised scale."""
+    fit = arima.arima_fit(training(spark, sf), (1, 0, 0), layout=CUT)
+    variance = (F.col("sigma2") / (F.col("scale") * F.col("scale"))).alias("variance")
+    phi = F.get("ar", F.lit(0)).alias("phi")
+    return rounded(fit.select("ticker", "const", phi, variance, "n_obs", "status"), 6)
+
+
+@register(
+    "arima_forecast_ar1",
+    f"""{AR1} SELECT ticker, CAST(h AS INTEGER) AS step,
+ {r("a * (1 - phi ** h) / (1 - phi) + phi ** h * last", "yhat", 2)},
+ {r("1.959963984540054 * sqrt(v * (1 - phi ** (2 * h)) / (1 - phi * phi))", "half_width", 2)}
+FROM m CROSS JOIN (SELECT unnest(range(1, 11)) AS h)""",
+)
+def _(spark, sf):
+    """Ten steps ahead of a first-order autoregression."""
+    fit = arima.arima_fit(training(spark, sf), (1, 0, 0), layout=CUT)
+    half = ((F.col("upper") - F.col("lower")) / 2).alias("half_width")
+    return rounded(arima.arima_forecast(fit, 10).select("ticker", "step", "yhat", half), 2)
+
+
 @register("arima_grid")
 def _(spark, sf):
     return arima.arima_grid(training(spark, sf), 5, 2, 5, layout=CUT)

@@ -57,14 +57,39 @@ def _(spark, sf):
     return rounded(autocorr.acf(closes(spark, sf), _K, layout=CUT), 6)
 
 
-@register("pacf")
+def _levinson(k: int, divisor: str) -> str:
+    """SQL of the partial autocorrelations ``phi`` of lags 0..k, one lag after another."""
+    return f"""WITH RECURSIVE {ROWS}, c AS (SELECT ticker, rn, n, close - avg(close) OVER (PARTITION BY ticker) AS c FROM x),
+k AS (SELECT unnest(range(0, {k + 1})) AS k),
+s AS (SELECT a.ticker, k, any_value(a.n) AS n, sum(a.c * b.c) / {divisor} AS s FROM c a JOIN k ON true JOIN c b ON b.ticker = a.ticker AND b.rn = a.rn - k GROUP BY 1, 2),
+q AS (SELECT *, s / first_value(s) OVER (PARTITION BY ticker ORDER BY k) AS q FROM s),
+ac AS (SELECT ticker, any_value(n) AS n, list(q ORDER BY k) AS q FROM q GROUP BY 1),
+lev AS (SELECT ticker, n, q, 0 AS k, CAST([] AS DOUBLE[]) AS coef, CAST(1 AS DOUBLE) AS err, CAST(1 AS DOUBLE) AS phi FROM ac
+UNION ALL SELECT ticker, n, q, k + 1, list_append(list_transform(range(1, k + 1), lambda j: coef[j] - p * coef[k + 1 - j]), p), err * (1 - p * p), p
+FROM (SELECT *, (q[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: coef[j] * q[k + 2 - j])), 0)) / err AS p FROM lev WHERE k < {k}))"""
+
+
+_BAND = "1.959963984540054 / sqrt(n)"
+
+
+@register(
+    "pacf",
+    f"""{_levinson(_K, "any_value(a.n)")} SELECT ticker, CAST(k AS INTEGER) AS lag, {r("phi", "pacf", 6)}, {r(_BAND, "band", 6)} FROM lev""",
+)
 def _(spark, sf):
-    return autocorr.pacf(closes(spark, sf), _K, layout=CUT)
+    return rounded(autocorr.pacf(closes(spark, sf), _K, layout=CUT), 6)
 
 
-@register("pacf_order")
+@register(
+    "pacf_order",
+    f"""{_levinson(25, "(any_value(a.n) - k)")} SELECT ticker,
+coalesce(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) FILTER (WHERE k > 0 AND abs(phi) > {_BAND}), '') AS significant_lags,
+coalesce(max(CAST(k AS INTEGER)) FILTER (WHERE k > 0 AND abs(phi) > {_BAND}), 0) AS ar_order FROM lev GROUP BY 1""",
+)
 def _(spark, sf):
-    return autocorr.suggest_ar_order(closes(spark, sf), 25, layout=CUT)
+    out = autocorr.suggest_ar_order(closes(spark, sf), 25, layout=CUT)
+    lags = F.array_join(F.col("significant_lags").cast("array<string>"), ",")
+    return out.withColumn("significant_lags", lags)
 
 
 @register("adf_test")
@@ -72,6 +97,20 @@ def _(spark, sf):
     return adf_test(closes(spark, sf).unionByName(mkt(spark, sf).drop("volume")), layout=CUT)
 
 
+@register(
+    "adf_test_plain",
+    f"""WITH {ROWS}, l AS (SELECT ticker, n, lag(close) {W} AS p, close - lag(close) {W} AS dy FROM x),
+g AS (SELECT ticker, any_value(n) AS n_rows, count(dy) AS n_obs, regr_slope(dy, p) AS b, regr_sxx(dy, p) AS sxx,
+ regr_syy(dy, p) - regr_sxy(dy, p) * regr_sxy(dy, p) / regr_sxx(dy, p) AS ssr FROM l WHERE p IS NOT NULL GROUP BY 1)
+SELECT ticker, n_rows, {r("b / sqrt(ssr / (n_obs - 2) / sxx)", "statistic", 6)}, CAST(0 AS INTEGER) AS used_lag, n_obs,
+ {r("-2.86154 - 2.8903 / n_obs - 4.234 / n_obs ** 2 - 40.040 / n_obs ** 3", "crit_5", 6)} FROM g""",
+)
+def _(spark, sf):
+    """The unit-root test without lagged differences."""
+    out = adf_test(closes(spark, sf), 0, layout=CUT)
+    return rounded(out.select("ticker", "n_rows", "statistic", "used_lag", "n_obs", "crit_5"), 6)
+
+
 @register("stationarize")
 def _(spark, sf):
     """Input of the autoregressive models: a start date, then differencing where needed."""

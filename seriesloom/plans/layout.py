@@ -16,6 +16,10 @@ Steps, all lazy:
 3. ``bucket = position div rows``; edge rows are also emitted to the neighbour
    bucket as halo; windows run by (ticker, bucket).
 
+A slice is bounded by time, so a busy one can hold many rows. ``Layout.slice_rows`` bounds it
+by rows as well: the slices above it are split at quantiles of their own times, taken from a
+mergeable sketch, for two more passes over the input a level.
+
 ``mode="plain"`` skips the cutting, for inputs whose series are known to be short.
 """
 
@@ -28,11 +32,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesloom.session import cut_lineage
+
 POS = "__pos"
 BUCKET = "__bucket"
 HALO = "__halo"
 SLICE = "__slice"
 _HELPERS = (POS, BUCKET, HALO, SLICE)
+# Parts of a busy slice at one level, and levels at most.
+_PARTS, _LEVELS = 64, 4
 
 
 @dataclass(frozen=True)
@@ -48,12 +56,16 @@ class Layout:
     tie: tuple[str, ...] = ()
     # Tasks the buckets are spread over; default is spark.sql.shuffle.partitions.
     tasks: int | None = None
+    # Rows of a slice at most (rows of one time stay together); None: slices by time alone.
+    slice_rows: int | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in ("bucketed", "plain"):
             raise ValueError(f"unknown layout mode: {self.mode}")
         if self.rows < 1:
             raise ValueError("rows per bucket must be positive")
+        if self.slice_rows is not None and self.slice_rows < 1:
+            raise ValueError("rows per slice must be positive")
 
     def order(self) -> list[Column]:
         return [F.col(self.ts), *(F.col(c) for c in self.tie)]
@@ -70,6 +82,43 @@ class Layout:
         return F.floor(day / F.lit(days)).cast("long")
 
 
+def sliced(df: DataFrame, layout: Layout) -> DataFrame:
+    """Add ``__slice``; with ``slice_rows`` the busy slices are split until they are small.
+
+    A slice whose rows all have one time is not split. Rows without a key or a time stay in
+    the first part of theirs.
+    """
+    cut = df.withColumn(SLICE, layout.slice_column(df))
+    if layout.slice_rows is None:
+        return cut
+    by, ts = [layout.key, SLICE], F.col(layout.ts)
+    for _ in range(_LEVELS):
+        sizes = cut.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("__n"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi")
+        )
+        busy = cut_lineage(
+            sizes.where((F.col("__n") > layout.slice_rows) & (F.col("__lo") < F.col("__hi"))).select(*by)
+        )
+        if busy.isEmpty():
+            break
+        at = F.percentile_approx(ts, [k / _PARTS for k in range(1, _PARTS)], 100 * _PARTS)
+        # Splitters lie below the last time, so that every split leaves rows on both sides.
+        splits = (
+            cut.join(busy, by, "left_semi").groupBy(*by).agg(at.alias("__at"), F.max(ts).alias("__hi"))
+            .select(*by, F.filter("__at", lambda s: s < F.col("__hi")).alias("__at"), "__hi")
+        )
+        splits = cut_lineage(splits)
+        part = F.size(F.filter("__at", lambda s: s < ts))
+        last = (F.size("__at") == 0) & (ts == F.col("__hi"))
+        part = F.when(F.col("__at").isNull() | ts.isNull(), 0).when(last, 1).otherwise(part)
+        cut = (
+            cut.join(splits, by, "left")
+            .withColumn(SLICE, F.col(SLICE) * _PARTS + part)
+            .drop("__at", "__hi")
+        )
+    return cut
+
+
 def with_positions(
     df: DataFrame,
     layout: Layout = Layout(),
@@ -93,7 +142,7 @@ def with_positions(
         )
         return out.withColumns({c: F.last(c, True).over(upto) for c in pad})
 
-    cut = df.withColumn(SLICE, layout.slice_column(df))
+    cut = sliced(df, layout)
     aggs = [F.count(F.lit(1)).alias("__n")]
     when = F.struct(*layout.order()) if layout.tie else F.col(layout.ts)
     for c in pad:

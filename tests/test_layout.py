@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from seriesloom import Layout, lay_out
 from seriesloom.functions import rolling
 from seriesloom.operators.features import FeatureConfig, build_features
-from seriesloom.plans.layout import POS, with_positions
+from seriesloom.plans.layout import POS, SLICE, sliced, with_positions
 from seriesloom.plans.quantiles import exact_quantiles
 
 RNG = np.random.default_rng(5)
@@ -94,3 +94,27 @@ def test_exact_quantiles_by_bracketing(spark):
 def test_window_lists():
     assert rolling.as_windows(4, 2) == [2, 3, 4]
     assert rolling.as_windows((5, 9), 2) == [5, 9]
+
+
+def test_busy_slices_are_split(make, pdf):
+    df = make(SERIES)
+    layout = Layout(slice_days=100_000, slice_rows=3)
+    sizes = sliced(df, layout).groupBy("ticker", SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 3
+    got = pdf(with_positions(df, layout, running={"total": F.col("close")}))
+    for t, v in SERIES.items():
+        mine = got[got.ticker == t]
+        assert list(mine[POS]) == list(range(len(v)))
+        np.testing.assert_allclose(mine.total, __import__("pandas").Series(v).fillna(0).cumsum())
+
+
+def test_busy_slices_with_ties_and_nulls(spark):
+    rows = [("A", 5, i) for i in range(40)] + [("A", 1, 50), ("A", 9, 51), (None, 2, 52), ("A", None, 53)]
+    df = spark.createDataFrame(rows, "ticker string, n int, id int").select(
+        "ticker", F.date_add(F.lit("2020-01-01").cast("date"), "n").alias("d"), "id"
+    )
+    layout = Layout(slice_rows=4, tie=("id",))
+    got = with_positions(df, layout).where("d IS NOT NULL AND ticker IS NOT NULL").orderBy(POS)
+    assert [r.id for r in got.collect()] == [50, *range(40), 51]
+    assert with_positions(df, layout).count() == len(rows)
+    assert with_positions(df.limit(0), layout).count() == 0
