@@ -29,13 +29,14 @@ from seriesloom.catalog.base import (
     register,
     rnd,
     rounded,
+    table,
     ticks,
 )
 from seriesloom.catalog.calendar import LIBRARY, columns_sql
 from seriesloom.functions import rolling, technical
 from seriesloom.operators import datasets, features, quality, returns, sequences
 from seriesloom.operators.features import FeatureConfig, frame_features
-from seriesloom.plans.layout import Layout, lay_out
+from seriesloom.plans.layout import POS, Layout, lay_out
 
 def X():
     return F.col("close")
@@ -605,6 +606,25 @@ def _(spark, sf):
     return rounded(sequences.flat_sequences(seq, 3), 6)
 
 
+_EVENT = "OVER (PARTITION BY event_type ORDER BY ts, event_id)"
+
+
+@register(
+    "busy_ticks",
+    f"""SELECT event_type AS ticker, ts, event_id, row_number() {_EVENT} - 1 AS pos, {r(f"lag(value, 3) {_EVENT}", "lag_3")},
+ {r(f"avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)", "ma_20")} FROM events""",
+)
+def _(spark, sf):
+    """Positions, a lag and a mean of raw ticks, with slices of at most 500 rows."""
+    layout = Layout(ts="ts", tie=("event_id",), rows=1000, slice_days=1024, slice_rows=500)
+    df = table(spark, sf, "events").select(F.col("event_type").alias("ticker"), "ts", "event_id", "value")
+    laid = lay_out(df, layout, back=20)
+    x = F.col("value")
+    cols = rolling.lags(x, (3,), laid.w) | rolling.rolling_mean(x, (20,), laid.w)
+    out = laid.with_columns(cols).close(keep_pos=True).withColumnRenamed(POS, "pos")
+    return rounded(out.drop("value"))
+
+
 @register(
     "ticks_features",
     f"""WITH {TICKS} SELECT ticker, h, {', '.join(
