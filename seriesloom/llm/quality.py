@@ -16,10 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.base import cut_lineage, register, table
+from seriesloom.llm.substrings import stored
 
 BUCKETS = 10_000
-#: Labelled documents that fit the target model and the threshold, at most.
-FIT_ROWS = 20_000
 #: Share of the trusted documents that the threshold keeps at least.
 KEEP_SHARE = 0.995
 #: Scores are compared in steps of this size.
@@ -114,11 +113,11 @@ def with_grams(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__grams", F.concat(F.transform("__hashes", lambda h: bucket(h)), two))
 
 
-def fit_labels(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, trusted, model: at most `rows` labelled documents, chosen by a hash of the id.
+def fit_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, trusted, model: every labelled document.
 
-    model is 1 for the half that the target model counts; the other half sets the threshold,
-    which is thus met by documents that the model has not seen.
+    model is 1 for the half (by a hash of the id) that the target model counts; the other half
+    sets the threshold, which is thus met by documents that the model has not seen.
 
     Good means quality 1 and not toxic; a document with contradictory labels is not good.
     """
@@ -128,30 +127,28 @@ def fit_labels(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.min(good.cast("int")).alias("trusted"))
         .withColumn("model", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
 
 
-def fit_ratio(docs: DataFrame, fit: DataFrame) -> DataFrame:
-    """One row: __ratio, the log ratio of each bucket; counted over all rows of `docs`."""
-    counts = (
+def _gram_counts(docs: DataFrame, name: str) -> DataFrame:
+    """b, `name`: how often each bucket stands in `docs`."""
+    # The plain explode would infer a filter on the n-grams and push it, with all that
+    # they are made of, below the columns that share that work.
+    return (
         with_grams(with_words(docs))
-        .join(
-            F.broadcast(fit.where((F.col("model") == 1) & (F.col("trusted") == 1))),
-            "doc_id", "left",
-        )
-        # The plain explode would infer a filter on the n-grams and push it, with all that
-        # they are made of, below the columns that share that work.
-        .select(
-            F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode_outer("__grams").alias("b")
-        )
+        .select(F.explode_outer("__grams").alias("b"))
         .where(F.col("b").isNotNull())
         .groupBy("b")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("good"))
+        .agg(F.count(F.lit(1)).alias(name))
     )
+
+
+def fit_ratio(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """One row: __ratio, the log ratio of each bucket; raw counts are over all rows of `docs`."""
+    target = labelled.where((F.col("model") == 1) & (F.col("trusted") == 1))
+    raw, good = _gram_counts(docs, "raw"), _gram_counts(target, "good")
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"))
-    full = every.join(counts, "b", "left").select(
+    full = every.join(raw, "b", "left").join(good, "b", "left").select(
         "b", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("raw", "good"))
     )
     # At most BUCKETS pairs meet here.
@@ -184,14 +181,13 @@ def score(docs: DataFrame, ratio: DataFrame) -> DataFrame:
     )
 
 
-def fit_threshold(scored: DataFrame, fit: DataFrame) -> float:
+def fit_threshold(scored: DataFrame) -> float:
     """The step that separates best among those that keep KEEP_SHARE of the good documents."""
     bins = (
-        scored.join(F.broadcast(fit), "doc_id")
-        .groupBy(F.floor(F.col("score") / STEP).alias("bin"))
+        scored.groupBy(F.floor(F.col("score") / STEP).alias("bin"))
         .agg(F.sum("trusted").alias("good"), F.count(F.lit(1)).alias("n"))
         .orderBy("bin")
-        .collect()  # one row for each step that a labelled document has: FIT_ROWS at most
+        .collect()  # one row a step: means of log ratios span some 50,000 steps at most
     )
     good = sum(r["good"] for r in bins)
     bad = sum(r["n"] for r in bins) - good
@@ -213,13 +209,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     empty result. Names that begin with "__" are reserved, and own columns of the names
     added here are replaced.
     """
-    fit = cut_lineage(fit_labels(labels))
-    ratio = cut_lineage(fit_ratio(docs.select("doc_id", "text"), fit))
-    unseen = fit.where(F.col("model") == 0)
-    narrow = docs.select("doc_id", "text").join(
-        F.broadcast(unseen.select("doc_id")), "doc_id", "left_semi"
-    )
-    cut = fit_threshold(score(with_words(narrow), ratio), unseen)
+    narrow = docs.select("doc_id", "text")
+    # Stored, as the model and the threshold read it. The labels grow with the documents, so
+    # they meet in a shuffle at any size.
+    labelled = stored(narrow.join(cut_lineage(fit_labels(labels)).hint("merge"), "doc_id"))
+    ratio = cut_lineage(fit_ratio(narrow, labelled))
+    cut = fit_threshold(score(with_words(labelled.where("model = 0")), ratio))
     out = score(base_counts(with_words(docs)), ratio).drop("__words", "__hashes")
     # As in the fit, scores count by whole steps.
     good = F.lit(True) if cut == float("-inf") else F.floor(F.col("score") / STEP) >= round(cut / STEP)

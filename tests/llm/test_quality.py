@@ -81,3 +81,29 @@ def test_cases(spark):
     plain = df.select("doc_id", "text").withColumns({"score": Q.F.lit(0.5), "n_words": Q.F.lit(7), "kept": Q.F.lit("mine")})
     own = Q.keep_good(plain, labels.limit(0)).collect()
     assert own and all((r.score, r.n_words, r.kept) == (0.5, 7, "mine") for r in own)
+
+
+def test_every_label_counts(spark):
+    n = 24_000  # more than the 20,000 that were once drawn
+    texts = [f"w{i % 13} v{i % 7} u{i} t{i % 5}" for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", (Q.F.col("doc_id") % 3 > 0).cast("int").alias("quality"), Q.F.lit(0).alias("toxic"))
+    fit = Q.fit_labels(labels).collect()
+    assert len(fit) == n
+    target = {r.doc_id for r in fit if r.model and r.trusted}
+    raw, good = Counter(), Counter()
+    found = [grams(t) for t in texts]
+    for i, g in enumerate(found):
+        raw.update(g)
+        if i in target:
+            good.update(g)
+    a, b = sum(good.values()) + Q.BUCKETS, sum(raw.values()) + Q.BUCKETS
+    ratio = [math.log((good[k] + 1) / a) - math.log((raw[k] + 1) / b) for k in range(Q.BUCKETS)]
+    want = [sum(ratio[k] for k in g) / len(g) for g in found]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # labels beyond a broadcast
+    try:
+        got = Q.judge(docs, labels).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == n
+    assert all(r.score == pytest.approx(want[r.doc_id], abs=1e-9) for r in got)
